@@ -140,7 +140,7 @@ def update_index(
 def updatable(outputs: DataFrame, meta: DataFrame, freqs: tuple[str, ...]) -> DataFrame:
     """``index, updatable``: whether every region set's output exists and holds all
     requested frequencies. ``outputs`` is ``index, region_set, dataset``."""
-    used = F.transform(F.split(F.coalesce(F.col("attrs")["frequencies_used"], F.lit("")), ","), F.trim)
+    used = F.transform(F.split(F.coalesce(F.col("attrs")["frequencies_used"], F.lit("")), ","), lambda f: F.trim(f))
     holds = F.lit(True)
     for f in freqs:
         holds = holds & F.array_contains(used, f)

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from . import joins  # noqa: F401
+    from . import aggregations, joins  # noqa: F401
     return
     from . import (  # noqa: F401
         aggregations,
