@@ -41,16 +41,31 @@ def previous(df: DataFrame, order: str, value: str, name: str, rows: int = BUCKE
     )
 
 
-def running_max(df: DataFrame, order: str, value: Column, name: str, rows: int = BUCKET_ROWS) -> DataFrame:
-    """Adds the largest non-null ``value`` up to and including each row."""
-    df = _bucketed(df.withColumn("_v", value), order, rows)
-    tops = df.groupBy("_bucket").agg(F.max("_v").alias("_top"))
-    carried = tops.select("_bucket", F.max("_top").over(_before()).alias("_carried"))
-    upto = (
-        Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+def running_max(
+    df: DataFrame,
+    order: str,
+    values: dict[str, tuple[Column, bool]],
+    rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """Adds, per name, the largest non-null value of the rows up to each row.
+
+    ``values`` maps a name to a column and whether the row itself counts. All names
+    share one pass.
+    """
+    df = _bucketed(df, order, rows).withColumns({f"_v_{n}": v for n, (v, _) in values.items()})
+    tops = df.groupBy("_bucket").agg(*[F.max(f"_v_{n}").alias(f"_top_{n}") for n in values])
+    carried = tops.select(
+        "_bucket", *[F.max(f"_top_{n}").over(_before()).alias(f"_carried_{n}") for n in values]
     )
+    inside = Window.partitionBy("_bucket").orderBy(order)
+
+    def upto(name: str, own: bool) -> Column:
+        frame = inside.rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+        return F.greatest(F.max(f"_v_{name}").over(frame), F.col(f"_carried_{name}"))
+
+    helpers = [f"_{kind}_{n}" for n in values for kind in ("v", "carried")]
     return (
         df.join(carried, "_bucket")
-        .withColumn(name, F.greatest(F.max("_v").over(upto), F.col("_carried")))
-        .drop("_bucket", "_carried", "_v")
+        .withColumns({n: upto(n, own) for n, (_, own) in values.items()})
+        .drop("_bucket", *helpers)
     )

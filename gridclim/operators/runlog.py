@@ -81,45 +81,36 @@ def values_for_key(
 def action_spans(entries: DataFrame, bucket_rows: int = ordered.BUCKET_ROWS) -> DataFrame:
     """``action_id, first_line, last_line, n_lines, closed, malformed``.
 
-    A span runs from a create line to the next create-end line. A create line inside
-    an open span makes that span malformed. Of spans with one id the last is kept.
+    A span runs from a create line to the next create-end line. A span whose create
+    line comes while another is open is malformed. Of spans with one id the last is
+    kept. One pass over the lines, then one row per span.
     """
-    opens = F.when(F.col("action") == CREATE, F.col("line_no"))
-    placed = ordered.running_max(entries, "line_no", opens, "span", bucket_rows).where(
-        F.col("span").isNotNull()
+    creates, ends = F.col("action") == CREATE, F.col("action") == CREATE_END
+    opened, closed = F.when(creates, F.col("line_no")), F.when(ends, F.col("line_no"))
+    placed = ordered.running_max(
+        entries.select("line_no", "action", "action_id"),
+        "line_no",
+        {"span": (opened, True), "span_before": (opened, False), "end_before": (closed, False)},
+        bucket_rows,
     )
-    ends = placed.groupBy("span").agg(
-        F.min(F.when(F.col("action") == CREATE_END, F.col("line_no"))).alias("span_end"),
-        F.max("line_no").alias("reach"),
-        F.max(F.when(F.col("action") == CREATE, F.col("action_id"))).alias("action_id"),
+    # No end line between the create line and this one.
+    inside = F.col("end_before").isNull() | (F.col("end_before") < F.col("span"))
+    still_open = F.col("span_before").isNotNull() & (
+        F.col("end_before").isNull() | (F.col("end_before") < F.col("span_before"))
     )
-    last_span = ends.select(F.max("span").alias("s")).scalar()
-    bounded = ends.select(
-        "span",
-        "action_id",
-        F.coalesce("span_end", "reach").alias("last_line"),
-        F.col("span_end").isNotNull().alias("closed"),
-        (F.col("span_end").isNull() & (F.col("span") < last_span)).alias("malformed"),
-    )
-    sizes = (
-        placed.join(bounded.select("span", "last_line"), "span")
-        .where(F.col("line_no") <= F.col("last_line"))
+    spans = (
+        placed.where(F.col("span").isNotNull() & inside | creates)
         .groupBy("span")
-        .agg(F.count("*").alias("n_lines"))
-    )
-    latest = bounded.groupBy("action_id").agg(F.max("span").alias("span"))
-    return (
-        bounded.join(sizes, "span")
-        .join(latest, ["span", "action_id"], "left_semi")
-        .select(
-            "action_id",
-            F.col("span").alias("first_line"),
-            "last_line",
-            "n_lines",
-            "closed",
-            "malformed",
+        .agg(
+            F.max(F.when(creates, F.col("action_id"))).alias("action_id"),
+            F.max("line_no").alias("last_line"),
+            F.count("*").alias("n_lines"),
+            F.bool_or(ends).alias("closed"),
+            F.bool_or(creates & still_open).alias("malformed"),
         )
     )
+    fields = F.struct(F.col("span").alias("first_line"), "last_line", "n_lines", "closed", "malformed")
+    return spans.groupBy("action_id").agg(F.max_by(fields, "span").alias("s")).select("action_id", "s.*")
 
 
 def require_well_formed(spans: DataFrame) -> DataFrame:

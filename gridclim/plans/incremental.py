@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import calendar
+from ..functions import calendar, numeric
 from ..model import STANDARD_FREQS
 from ..operators import canon, completeness, regions
 from ..sources import metadata, store
@@ -79,26 +79,28 @@ def update_regions(
     """Bring every region set of a regional store up to ``end``."""
     stored = spark.read.parquet(path)
     due = region_increment(grid, xwalk, stored, end)
-    from ..functions.numeric import weighted_mean
-
-    new = due.groupBy(*REGIONAL_KEY).agg(
-        *[weighted_mean(F.col(v), F.col("w")).alias(v) for v in variables]
-    )
     if due.isEmpty():
         return False
+    new = due.groupBy(*REGIONAL_KEY).agg(
+        *[numeric.weighted_mean(F.col(v), F.col("w")).alias(v) for v in variables]
+    )
     store.update_store(spark, path, new, REGIONAL_KEY)
     return True
 
 
-def due_from(periods: DataFrame, checkpoints: DataFrame) -> DataFrame:
+def due_from(periods: DataFrame, checkpoints: DataFrame, refresh: bool = False) -> DataFrame:
     """``freq, due``: first complete period strictly after the checkpoint.
 
     ``periods`` is ``freq, time``, ``checkpoints`` ``freq, last_period``. A frequency
     without a checkpoint is due from its first period; one with nothing new is absent.
+    With ``refresh`` the period of the checkpoint is due as well.
     """
+    after = F.col("time") > F.col("last_period")
+    if refresh:
+        after = F.col("time") >= F.col("last_period")
     return (
         periods.join(F.broadcast(checkpoints), "freq", "left")  # one row per frequency
-        .where(F.col("last_period").isNull() | (F.col("time") > F.col("last_period")))
+        .where(F.col("last_period").isNull() | after)
         .groupBy("freq")
         .agg(F.min("time").alias("due"))
     )
@@ -111,18 +113,22 @@ def update_index(
     xwalk: DataFrame,
     names: tuple[str, ...],
     freqs: tuple[str, ...] = STANDARD_FREQS,
+    refresh: bool = False,
 ) -> bool:
     """Compute the periods after the stored checkpoints and upsert them.
 
-    Percentiles and completeness refer to the whole history, so the result equals a
-    full run. When every frequency is up to date nothing happens.
+    Percentiles and completeness refer to the whole history. A period counts as
+    complete with four fifths of its days, so the last stored one may have been
+    computed before its last days came; ``refresh`` computes it again, and then the
+    result equals a full run wherever the last update stopped. When every frequency
+    is up to date nothing happens.
     """
     stored = spark.read.parquet(path)
     points = (
         stored.groupBy(calendar.freq_of_filter(F.col("time_filter")).alias("freq"))
         .agg(F.max("period").alias("last_period"))
     )
-    due = due_from(completeness.complete_periods(grid, freqs), points)
+    due = due_from(completeness.complete_periods(grid, freqs), points, refresh)
     starts = {r["freq"]: r["due"] for r in due.collect()}  # at most one row per frequency
     if not starts:
         return False

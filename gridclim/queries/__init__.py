@@ -27,10 +27,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from . import aggregations, joins, projections, windows  # noqa: F401
-    return
     from . import (  # noqa: F401
         aggregations,
+        flagship,
         hooks,
         joins,
         projections,

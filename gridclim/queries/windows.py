@@ -95,7 +95,7 @@ def w6(spark, sf):
     events = tables.table(spark, sf, "events").select("event_id", "event_type")
     marked = ordered.previous(events, "event_id", "event_type", "before", 1000)
     starts = F.when(~F.col("event_type").eqNullSafe(F.col("before")), F.col("event_id"))
-    out = ordered.running_max(marked, "event_id", starts, "segment", 1000)
+    out = ordered.running_max(marked, "event_id", {"segment": (starts, True)}, 1000)
     return out.groupBy("segment", "event_type").agg(F.count("*").alias("n"))
 
 

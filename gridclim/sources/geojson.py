@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _FEATURE = (
-    "struct<properties: struct<NUTS_ID: string, NAME_LATN: string, CNTR_CODE: string>, "
-    "geometry: struct<type: string, coordinates: string>>"
+    "properties struct<NUTS_ID:string,NAME_LATN:string,CNTR_CODE:string>, "
+    "geometry struct<type:string,coordinates:string>"
 )
 _POLYGON = "array<array<array<double>>>"
 _MULTI = "array<array<array<array<double>>>>"
@@ -21,11 +21,14 @@ def read_regions(spark: SparkSession, path: str, region_set: str, lines: bool =
     multi-polygon are kept in one list, which the even-odd test allows.
     """
     if lines:
-        features = spark.read.schema(_FEATURE[7:-1]).json(path).select(
+        features = spark.read.schema(_FEATURE).json(path).select(
             F.struct("properties", "geometry").alias("f")
         )
     else:
-        document = spark.read.schema(f"features array<{_FEATURE}>").option("multiLine", True).json(path)
+        nested = _FEATURE.replace("properties ", "properties:").replace("geometry ", "geometry:")
+        document = (
+            spark.read.schema(f"features array<struct<{nested}>>").option("multiLine", True).json(path)
+        )
         features = document.select(F.explode("features").alias("f"))
     return features.select(
         F.lit(region_set).alias("region_set"),

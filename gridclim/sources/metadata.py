@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +26,11 @@ class Publisher:
 
 def merged(*maps: Column) -> Column:
     """Maps merged key by key; the last one that has a key wins."""
-    out = maps[0]
-    for m in maps[1:]:
-        kept = F.map_filter(out, lambda k, _, m=m: ~F.map_contains_key(m, k))
-        out = F.map_concat(kept, m)
-    return out
+    return reduce(_overlaid, maps)
+
+
+def _overlaid(below: Column, above: Column) -> Column:
+    return F.map_concat(F.map_filter(below, lambda k, _: ~F.map_contains_key(above, k)), above)
 
 
 def only(attrs: Column, keys: Sequence[str], prefixes: Sequence[str] = ()) -> Column:

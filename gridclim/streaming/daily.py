@@ -20,7 +20,8 @@ def daily_statistics_stream(observations: DataFrame, lateness: str = "2 days") -
     reach it; later ones are dropped. State is one row per open day, cell and variable.
     """
     return (
-        observations.withWatermark("ts", lateness)
+        observations.withColumn("ts", F.col("ts").cast("timestamp"))
+        .withWatermark("ts", lateness)
         .groupBy(*CELL, "variable", F.window("ts", "1 day").alias("day"))
         .agg(variable_statistic(F.col("value")).alias("value"), F.count("value").alias("n"))
         .select(*CELL, "variable", F.to_date("day.start").alias("time"), "value", "n")
