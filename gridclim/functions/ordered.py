@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BUCKET_ROWS = 100_000
+BUCKET_ROWS = 1_000_000
 
 
 def _bucketed(df: DataFrame, order: str, rows: int) -> DataFrame:

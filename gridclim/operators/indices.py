@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import CELL
+from ..functions import axis
 from ..model import (
     DAILY,
     MONTHLY,
@@ -40,21 +41,24 @@ def count_days(df: DataFrame, context: IndexContext) -> DataFrame:
     )
 
 
+def _share_parts(joined: DataFrame, variable: str, wet: float) -> dict[str, Column]:
+    """Total of the days above their percentile, and of the wet days."""
+    value = F.col(variable)
+    extreme = (value > F.col("q")) & (value > wet)
+    return {
+        "over": F.coalesce(F.sum(F.when(extreme, value)), F.lit(0.0)),
+        "total": F.coalesce(F.sum(F.when(value > wet, value)), F.lit(0.0)),
+        "n_valid": F.count(value),
+    }
+
+
 def share_above_percentile(df: DataFrame, context: IndexContext) -> DataFrame:
     """Share of the wet-day total that falls on days above their percentile."""
-    value, wet = F.col(context.variable), float(context.options["wet"])
-    q = F.col("q")
-    extreme = (value > q) & (value > wet)
-    joined = percentiles.join_doy_percentile(
-        df.select("time", *CELL, context.variable), context.percentile
-    )
-    over = F.coalesce(F.sum(F.when(extreme, value)), F.lit(0.0))
-    total = F.coalesce(F.sum(F.when(value > wet, value)), F.lit(0.0))
-    return resample.resample(
-        joined,
-        context.freq,
-        {context.variable: F.try_divide(over, total), "n_valid": F.count(value)},
-    )
+    variable = context.variable
+    joined = percentiles.join_doy_percentile(df, context.percentile, variable)
+    parts = _share_parts(joined, variable, float(context.options["wet"]))
+    out = resample.resample_cells(joined, context.freq, parts)
+    return out.withColumn(variable, F.try_divide("over", "total")).drop("over", "total")
 
 
 def _day_count(name: str, variable: str, value: float, op: str, title: str | None = None) -> IndexDef:
@@ -189,7 +193,9 @@ def compute_index(
     else:
         out = _reduce(grid, index, freq, q, sample)
     if "n_valid" in out.columns:
-        present = F.sum("n_valid").over(Window.partitionBy(*CELL)) > 0
+        if "cell" not in out.columns:
+            out = out.withColumn("cell", axis.cell_id(F.col("lat"), F.col("lon")))
+        present = F.sum("n_valid").over(Window.partitionBy("cell")) > 0
         return out.select(*CELL, "time", F.when(present, F.col(variable)).alias("value"))
     return mask_empty_cells(out.withColumnRenamed(variable, "value"), grid, variable)
 
@@ -238,12 +244,12 @@ def count_expressions(names: tuple[str, ...]) -> dict[str, Column]:
     return out
 
 
-def count_indices(
+def count_indices_wide(
     grid: DataFrame,
     names: tuple[str, ...] = COUNT_INDICES,
     freqs: tuple[str, ...] = STANDARD_FREQS,
 ) -> DataFrame:
-    """``lat, lon, freq, time, index, value`` of many count indices in one pass.
+    """``lat, lon, freq, time`` and one column per count index, in one pass.
 
     The daily rows are read and shuffled once, as monthly counts; seasons and years
     are sums of those.
@@ -253,41 +259,51 @@ def count_indices(
     valid = {f"valid_{v}": F.count(v) for v in variables}
     monthly = resample.resample(grid, MONTHLY, {**aggregates, **valid})
     rolled = resample.roll_up(monthly, freqs, (*aggregates, *valid))
-    cell = Window.partitionBy(*CELL)
+    cell = Window.partitionBy("cell")
     present = {v: F.sum(f"valid_{v}").over(cell) > 0 for v in variables}
     rolled = rolled.withColumns({f"has_{v}": p for v, p in present.items()})
-    entries = [
-        F.struct(
-            F.lit(n).alias("index"),
-            F.when(F.col(f"has_{get_index(n).index.variable}"), F.col(n).cast("double")).alias("value"),
-        )
-        for n in names
-    ]
-    return rolled.select(*CELL, "freq", "time", F.explode(F.array(*entries)).alias("e")).select(
-        *CELL, "freq", "time", "e.index", "e.value"
+    return rolled.select(
+        *CELL,
+        "freq",
+        "time",
+        *[
+            F.when(F.col(f"has_{get_index(n).index.variable}"), F.col(n).cast("double")).alias(n)
+            for n in names
+        ],
     )
 
 
+def to_long(wide: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """Index columns to rows ``index, value``."""
+    others = [c for c in wide.columns if c not in names]
+    entries = [F.struct(F.lit(n).alias("index"), F.col(n).alias("value")) for n in names]
+    return wide.select(*others, F.inline(F.array(*entries)))
+
+
+def count_indices(
+    grid: DataFrame,
+    names: tuple[str, ...] = COUNT_INDICES,
+    freqs: tuple[str, ...] = STANDARD_FREQS,
+) -> DataFrame:
+    """The same as ``lat, lon, freq, time, index, value``."""
+    return to_long(count_indices_wide(grid, names, freqs), names)
+
+
 def precipitation_shares(
     grid: DataFrame,
     freqs: tuple[str, ...] = STANDARD_FREQS,
     history: DataFrame | None = None,
     name: str = "r95ptot",
 ) -> DataFrame:
-    """``lat, lon, freq, time, index, value`` of a share index in one pass.
+    """``lat, lon, freq, time`` and the share as a column named like the index, in one pass.
 
     Numerator and denominator are additive, so months are rolled up and divided last.
     """
     index = get_index(name).index
     reference = grid if history is None else history
     q = percentiles.reference_percentile(reference, index.variable, index.percentile, MONTHLY)
-    value, wet = F.col(index.variable), float(index.options["wet"])
-    joined = percentiles.join_doy_percentile(grid.select("time", *CELL, index.variable), q)
-    parts = {
-        "over": F.sum(F.when((value > F.col("q")) & (value > wet), value)),
-        "total": F.sum(F.when(value > wet, value)),
-        "n_valid": F.count(value),
-    }
-    rolled = resample.roll_up(resample.resample(joined, MONTHLY, parts), freqs, tuple(parts))
-    share = F.try_divide(F.coalesce("over", F.lit(0.0)), F.coalesce("total", F.lit(0.0)))
-    return rolled.select(*CELL, "freq", "time", F.lit(name).alias("index"), share.alias("value"))
+    joined = percentiles.join_doy_percentile(grid, q, index.variable)
+    parts = _share_parts(joined, index.variable, float(index.options["wet"]))
+    monthly = resample.resample_cells(joined, MONTHLY, parts)
+    rolled = resample.roll_up(monthly, freqs, tuple(parts))
+    return rolled.select(*CELL, "freq", "time", F.try_divide("over", "total").alias(name))

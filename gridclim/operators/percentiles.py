@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import CELL
 from ..functions import axis, calendar, numeric
@@ -18,20 +17,30 @@ def regular_percentile(history: DataFrame, variable: str, percent: float, freq:
     )
 
 
-def day_of_year_percentile(
+def by_cell(df: DataFrame, variable: str) -> DataFrame:
+    """``time, lat, lon, <variable>, cell``, partitioned by cell.
+
+    One cell has one value per day, so no partition key is larger than the calendar.
+    """
+    cell = axis.cell_id(F.col("lat"), F.col("lon")).alias("cell")
+    return df.select("time", *CELL, F.col(variable).cast("double").alias(variable), cell).repartition("cell")
+
+
+def day_of_year_table(
     history: DataFrame,
     variable: str,
     percent: float,
     window: int = 6,
     doy_adjust: str = "interp366",
 ) -> DataFrame:
-    """``lat, lon, doy, q``: percentile of a moving day window, all years pooled.
+    """``cell, lat, lon, qs``: per cell an array of 366 percentiles, one per day of year.
 
-    Expects a daily time axis. For an even window the longer side lies before the
-    day. Rows are partitioned by cell once; spreading a value over the days it
-    serves, the grouping by (cell, day) and a later join by (cell, day) all stay
-    inside that partitioning, so the spread rows are never shuffled. One cell has
-    one value per day, so no cell is larger than the calendar.
+    Each is taken over a moving day window with all years pooled; for an even window
+    the longer side lies before the day. Expects a daily time axis.
+
+    Rows are partitioned by cell once. Spreading a value over the days it serves and
+    both groupings stay inside that partitioning, so the spread rows are never
+    shuffled.
 
     ``doy_adjust="interp366"`` stretches days 1..365 over 1..366 when the axis has
     a 366th day; ``"none"`` keeps the raw value of day 366.
@@ -41,48 +50,59 @@ def day_of_year_percentile(
     before = window // 2
     after = window - 1 - before
     first, last = axis.scalar(history, F.min("time")), axis.scalar(history, F.max("time"))
-    served = F.expr(f"explode(sequence(date_add(time, {-after}), date_add(time, {before})))")
-    q = (
-        history.where(F.col(variable).isNotNull())
-        .select(*CELL, "time", F.col(variable).cast("double").alias("v"))
-        .repartition(*CELL)
-        .select(*CELL, "v", served.alias("day"))
+    served = F.sequence(F.date_add("time", -after), F.date_add("time", before))
+    per_day = (
+        by_cell(history, variable)
+        .select("cell", *CELL, F.col(variable).alias("v"), F.explode(served).alias("day"))
         .where(F.col("day").between(first, last))
-        .groupBy(*CELL, F.dayofyear("day").alias("doy"))
-        .agg(F.sort_array(F.collect_list("v")).alias("vs"))
-        .select(*CELL, "doy", numeric.plotting_quantile(F.col("vs"), percent / 100).alias("q"))
+        .groupBy("cell", F.dayofyear("day").alias("doy"))
+        .agg(
+            F.first("lat").alias("lat"),
+            F.first("lon").alias("lon"),
+            # Missing values are not collected; six values per year at most.
+            F.sort_array(F.collect_list("v")).alias("vs"),
+        )
+        .withColumn("q", numeric.plotting_quantile(F.col("vs"), percent / 100))
     )
+    entries = F.map_from_entries(F.collect_list(F.struct("doy", "q")))
+    days = F.sequence(F.lit(1), F.lit(366))
+    raw = per_day.groupBy("cell").agg(
+        F.first("lat").alias("lat"), F.first("lon").alias("lon"), entries.alias("m")
+    ).select("cell", *CELL, F.transform(days, lambda d: F.try_element_at(F.col("m"), d)).alias("qs"))
     if doy_adjust == "none":
-        return q
-    return _stretch_to_366(q, axis.scalar(history, F.max(F.dayofyear("time"))))
+        return raw
+    longest = axis.scalar(history, F.max(F.dayofyear("time")))
+    return raw.withColumn("qs", F.when(longest == 366, _stretched(F.col("qs"))).otherwise(F.col("qs")))
 
 
-def _stretch_to_366(q: DataFrame, longest) -> DataFrame:
-    """Linear interpolation of 365 values placed evenly over 1..366.
+def _stretched(qs: Column) -> Column:
+    """Linear interpolation of days 1..365 placed evenly over 1..366.
 
     Day t lies between source days t-1 and t with weights (t-1)/365 and
-    (366-t)/365; the last day takes the last value.
+    (366-t)/365; the first and the last day keep their source value.
     """
-    doy = F.col("doy")
-    earlier = F.lag("q").over(Window.partitionBy(*CELL).orderBy("doy"))
-    mixed = (
-        F.when(doy == 1, F.col("q"))
-        .otherwise(earlier * (doy - 1) / 365 + F.col("q") * (366 - doy) / 365)
-    )
-    days = F.when(
-        doy == 365,
-        F.array(
-            F.struct(doy.alias("doy"), mixed.alias("q")),
-            F.struct(F.lit(366).alias("doy"), F.col("q").alias("q")),
-        ),
-    ).otherwise(F.array(F.struct(doy.alias("doy"), mixed.alias("q"))))
-    leap = longest == 366
-    raw = F.array(F.struct(doy.alias("doy"), F.col("q").alias("q")))
-    return (
-        q.where(~leap | (doy < 366))
-        .select(*CELL, F.when(leap, days).otherwise(raw).alias("d"))
-        .select(*CELL, F.explode("d").alias("d"))
-        .select(*CELL, "d.doy", "d.q")
+
+    def mixed(t: Column) -> Column:
+        left = F.try_element_at(qs, F.greatest(t - 1, F.lit(1)))
+        right = F.try_element_at(qs, F.least(t, F.lit(365)))
+        between = left * (t - 1) / 365 + right * (366 - t) / 365
+        return F.when((t == 1) | (t == 366), F.when(t == 1, right).otherwise(left)).otherwise(between)
+
+    return F.transform(F.sequence(F.lit(1), F.lit(366)), mixed)
+
+
+def day_of_year_percentile(
+    history: DataFrame,
+    variable: str,
+    percent: float,
+    window: int = 6,
+    doy_adjust: str = "interp366",
+) -> DataFrame:
+    """The same table as rows ``lat, lon, doy, q``."""
+    table = day_of_year_table(history, variable, percent, window, doy_adjust)
+    rows = table.select(*CELL, F.posexplode("qs").alias("position", "q"))
+    return rows.where(F.col("q").isNotNull()).select(
+        *CELL, (F.col("position") + 1).alias("doy"), "q"
     )
 
 
@@ -101,7 +121,7 @@ def reference_percentile(
     if spec.kind == "regular":
         return regular_percentile(rows, variable, spec.value, freq)
     if spec.kind == "doy":
-        return day_of_year_percentile(rows, variable, spec.value, spec.window)
+        return day_of_year_table(rows, variable, spec.value, spec.window)
     raise NotImplementedError(f"percentile kind {spec.kind!r}")
 
 
@@ -111,7 +131,11 @@ def join_period_percentile(df: DataFrame, q: DataFrame, freq: str) -> DataFrame:
     return keyed.join(q, [*CELL, "period"], "left").drop("period")
 
 
-def join_doy_percentile(df: DataFrame, q: DataFrame) -> DataFrame:
-    """Each row with the percentile of its day of year as ``q``."""
-    keyed = df.repartition(*CELL).withColumn("doy", F.dayofyear("time"))
-    return keyed.join(q, [*CELL, "doy"], "left")
+def join_doy_percentile(df: DataFrame, table: DataFrame, variable: str) -> DataFrame:
+    """``time, lat, lon, <variable>, cell, q``: each row with the percentile of its day.
+
+    Both sides are partitioned by cell already, so the join moves nothing.
+    """
+    joined = by_cell(df, variable).join(table.select("cell", "qs"), "cell", "left")
+    q = F.try_element_at("qs", F.dayofyear("time"))
+    return joined.select("time", *CELL, variable, "cell", q.alias("q"))

@@ -38,11 +38,15 @@ def dataset_summary(df: DataFrame, variable: str) -> DataFrame:
 
 
 def step_summary(df: DataFrame, variable: str, positions: DataFrame) -> DataFrame:
-    """Statistics of the time steps listed in ``positions(time, position)``."""
+    """Statistics of the time steps listed in ``positions(time, position)``.
+
+    The list is no longer than the time axis, which the calendar bounds, so it is
+    broadcast.
+    """
     value = F.col(variable)
     box = df.agg(*axis_sizes(df, ("lat", "lon"))).select((F.col("n_lat") * F.col("n_lon")).alias("n")).scalar()
     stats = (
-        df.join(positions, "time")
+        df.join(F.broadcast(positions), "time")
         .groupBy("time", "position")
         .agg(
             F.count(value).alias("valid"),

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from .. import CELL
 from ..functions import axis, geometry, numeric
+from ..session import materialise
 
 REGION = ("region_set", "region")
 
@@ -89,9 +90,11 @@ def crosswalk(cells: DataFrame, regions: DataFrame, tile: float = 1.0) -> DataFr
     """``region_set, region, lat, lon, w, filled``: cells and weights of every region.
 
     Depends on the grid and the outlines only; build it once per grid, keep it as a
-    table (see ``session.materialise``) and reuse it for every variable and day.
+    table (see ``session.materialise``) and reuse it for every variable and day. The
+    cells and the hits are written on the way, since several steps read them.
     """
-    inside = cells_inside(cells, regions, tile)
+    cells = materialise(cells.select(*CELL))
+    inside = materialise(cells_inside(cells, regions, tile))
     weighted = inside.select(
         *REGION, *CELL, numeric.latitude_weight(F.col("lat")).alias("w"), F.lit(False).alias("filled")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import CELL
-from ..functions import calendar, numeric
+from ..functions import axis, calendar, numeric
 from ..model import ANNUAL, DAILY, MONTHLY, SEASONAL, WEEKLY_MONDAY
 
 # Present samples a period needs, by sample and target frequency.
@@ -42,16 +42,18 @@ def resample(
     )
 
 
-def roll_up(
-    monthly: DataFrame,
-    freqs: tuple[str, ...],
-    sums: tuple[str, ...],
-    keys: tuple[str, ...] = CELL,
-) -> DataFrame:
+def resample_cells(df: DataFrame, freq: str, aggregates: Mapping[str, Column]) -> DataFrame:
+    """``resample`` for rows that are partitioned by ``cell``; nothing is exchanged."""
+    place = {c: F.first(c) for c in CELL}
+    return resample(df, freq, {**place, **aggregates}, ("cell",))
+
+
+def roll_up(monthly: DataFrame, freqs: tuple[str, ...], sums: tuple[str, ...]) -> DataFrame:
     """Additive monthly columns to several frequencies in one pass.
 
     Daily data is aggregated once; each monthly row then goes to one period per
-    frequency. Adds ``freq``.
+    frequency. Rows are partitioned by ``cell``, by one exchange where they are not
+    yet, and stay so. Adds ``freq``.
     """
     targets = F.array(
         *[
@@ -59,10 +61,13 @@ def roll_up(
             for f in freqs
         ]
     )
+    if "cell" not in monthly.columns:
+        cell = axis.cell_id(F.col("lat"), F.col("lon"))
+        monthly = monthly.withColumn("cell", cell).repartition("cell")
     return (
-        monthly.select(*keys, F.explode(targets).alias("_t"), *sums)
-        .groupBy(*keys, F.col("_t.freq").alias("freq"), F.col("_t.start").alias("time"))
-        .agg(*[F.sum(s).alias(s) for s in sums])
+        monthly.select("cell", *CELL, F.explode(targets).alias("_t"), *sums)
+        .groupBy("cell", F.col("_t.freq").alias("freq"), F.col("_t.start").alias("time"))
+        .agg(*[F.first(c).alias(c) for c in CELL], *[F.sum(s).alias(s) for s in sums])
     )
 
 

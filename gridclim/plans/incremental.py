@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import calendar, numeric
+from ..functions import axis, calendar, numeric
 from ..model import STANDARD_FREQS
 from ..operators import canon, completeness, regions
 from ..sources import metadata, store
@@ -62,7 +62,13 @@ def region_increment(
     """
     last = stored.groupBy("region_set").agg(F.max("time").alias("last"))
     due = xwalk.join(F.broadcast(last), "region_set", "left")  # one row per region set
-    days = canon.between_dates(grid, None, end.isoformat())
+    # Days every set has already are not read.
+    known = F.coalesce(F.col("last"), F.lit("0001-01-01").cast("date"))
+    sets = xwalk.select("region_set").distinct().join(F.broadcast(last), "region_set", "left")
+    oldest = axis.scalar(sets, F.min(known))
+    days = canon.between_dates(grid, None, end.isoformat()).where(F.col("time") > oldest)
+    if "year" in grid.columns:
+        days = days.where(F.col("year") >= F.year(oldest))
     return days.join(due, ["lat", "lon"]).where(
         F.col("last").isNull() | (F.col("time") > F.col("last"))
     )
@@ -133,12 +139,9 @@ def update_index(
     if not starts:
         return False
     recent = canon.between_dates(grid, min(starts.values()).isoformat(), None)
-    cells = derived_index.cell_indices(recent, names, freqs, history=grid, axis_of=grid)
-    wanted = F.lit(False)
-    freq = calendar.freq_of_filter(F.col("time_filter"))
-    for f, start in starts.items():
-        wanted = wanted | ((freq == f) & (F.col("period") >= F.lit(start)))
-    new = derived_index.regional_indices(cells.where(wanted), xwalk)
+    new = derived_index.regional_indices(
+        recent, xwalk, names, tuple(starts), history=grid, axis_of=grid, due=starts
+    )
     store.update_store(spark, path, new, INDEX_KEY)
     return True
 

@@ -126,7 +126,7 @@ for _label, _freq in (("monthly", MONTHLY), ("seasonal", SEASONAL), ("annual", A
 )
 def a7_rolled(spark, sf):
     out = indices.precipitation_shares(tables.grid_daily(spark, sf))
-    return out.select("freq", *CELL, text("time").alias("time"), r6("value").alias("value"))
+    return out.select("freq", *CELL, text("time").alias("time"), r6("r95ptot").alias("value"))
 
 
 @query(

@@ -23,8 +23,7 @@ _REGIONAL = (
 
 
 def _regional(spark, sf, names):
-    cells = derived_index.cell_indices(tables.grid_daily(spark, sf), names)
-    out = derived_index.regional_indices(cells, xwalk(spark, sf))
+    out = derived_index.regional_indices(tables.grid_daily(spark, sf), xwalk(spark, sf), names)
     return out.select(
         "region_set", "region", "index", text("time").alias("time"), "time_filter", r6("value").alias("value")
     )
@@ -47,8 +46,8 @@ def all_counts(spark, sf):
 def all_indices(spark, sf):
     """All nine indices with values as they are stored, in FLOAT."""
     names = (*indices.COUNT_INDICES, "r95ptot")
-    cells = derived_index.cell_indices(tables.grid_daily(spark, sf), names)
-    out = derived_index.to_sink(derived_index.regional_indices(cells, xwalk(spark, sf)))
+    regional = derived_index.regional_indices(tables.grid_daily(spark, sf), xwalk(spark, sf), names)
+    out = derived_index.to_sink(regional)
     return out.groupBy("region_set", "index", "time_filter").agg(
         F.count("*").alias("n"), r6(F.avg(F.col("value").cast("double"))).alias("mean")
     )

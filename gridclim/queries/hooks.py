@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import CELL
 from ..model import MONTHLY, NEEDS_HISTORY, NEEDS_PERCENTILE, SEASONAL, IndexDef, PercentileSpec, Threshold, YearSpan
-from ..operators import indices, resample
+from ..operators import indices, percentiles, resample
 from ..sources import tables
 from . import query
 from . import sql as q
@@ -39,10 +39,8 @@ def f1_history(spark, sf):
 
 def _excess(df, context):
     """Sum of what lies above the reference percentile of the season."""
-    from ..operators.percentiles import join_period_percentile
-
     v = F.col(context.variable)
-    joined = join_period_percentile(df, context.percentile, context.freq)
+    joined = percentiles.join_period_percentile(df, context.percentile, context.freq)
     return resample.resample(
         joined, context.freq, {context.variable: F.sum(F.greatest(v - F.col("q"), F.lit(0.0)))}
     )

@@ -130,10 +130,9 @@ pct AS (
 )
 def j6(spark, sf):
     grid = tables.grid_daily(spark, sf).select("time", *CELL, "pr")
-    pct = percentiles.day_of_year_percentile(grid, "pr", 95)
-    joined = percentiles.join_doy_percentile(grid, pct)
-    out = resample.resample(joined, "YS", {"days_above": F.count_if(F.col("pr") > F.col("q"))})
-    return out.withColumn("time", text("time"))
+    joined = percentiles.join_doy_percentile(grid, percentiles.day_of_year_table(grid, "pr", 95), "pr")
+    out = resample.resample_cells(joined, "YS", {"days_above": F.count_if(F.col("pr") > F.col("q"))})
+    return out.select(*CELL, text("time").alias("time"), "days_above")
 
 
 @query(

@@ -92,7 +92,7 @@ def _updated_index(spark, sf, stop, refresh):
     path, table = scratch_dir(spark), xwalk(spark, sf)
     grid = tables.grid_daily(spark, sf)
     early = grid.where(F.col("time") <= stop)
-    first = derived_index.regional_indices(derived_index.cell_indices(early, _NAMES), table)
+    first = derived_index.regional_indices(early, table, _NAMES)
     store.write_store(store.with_year(first), path, partition_by=["year"])
     incremental.update_index(spark, path, grid, table, _NAMES, refresh=refresh)
     stored = spark.read.parquet(path)

@@ -17,9 +17,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
-    # Lets two sides that are already hash-partitioned on (lat, lon) be joined on
-    # (lat, lon, doy) without another exchange.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

@@ -7,10 +7,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import CELL
 from ..functions import axis, numeric
 from ..model import require_columns
+from ..session import materialise
 
 GRID_KEY = ("time", *CELL)
 
@@ -93,11 +95,20 @@ def write_store(
         if exists(spark, path):
             return False
         mode = "errorifexists"
-    writer = df.write.mode(mode)
+    _write(df, path, mode, partition_by)
+    return True
+
+
+def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], **options: str) -> None:
+    """Partitioned writes are rebalanced first: one file per partition value where it is
+    small, several where it is large, ordered by time and place inside."""
+    if partition_by:
+        order = [c for c in GRID_KEY if c in df.columns]
+        df = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *order)
+    writer = df.write.mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return True
 
 
 def with_year(df: DataFrame) -> DataFrame:
@@ -130,17 +141,16 @@ def update_store(
     old = spark.read.parquet(path)
     if label_dim is not None:
         new = new.join(old.select(label_dim).distinct(), label_dim, "left_semi")
-    new = with_year(new) if "year" not in new.columns else new
-    touched = F.broadcast(new.select("year").distinct())  # years, bounded by the calendar
-    affected = old.join(touched, "year", "left_semi")
-    (
-        upserted(affected, new, key)
-        .select(*old.columns)
-        .hint("rebalance", "year")  # one file per year where small, several where large
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year")
-        .parquet(path)
+    # Read three times below, so computed once.
+    new = materialise(new if "year" in new.columns else with_year(new))
+    years = [r["year"] for r in new.select("year").distinct().collect()]  # bounded by the calendar
+    affected = old.where(F.col("year").isin(years))
+    _write(
+        upserted(affected, new, key).select(*old.columns),
+        path,
+        "overwrite",
+        ["year"],
+        partitionOverwriteMode="dynamic",
     )
 
 
@@ -203,8 +213,6 @@ def with_tiles(df: DataFrame) -> DataFrame:
 
 def with_region_tiles(df: DataFrame) -> DataFrame:
     """``tile_region``: block of a region in its set, by rank of its id."""
-    from pyspark.sql.window import Window
-
     regions = df.select("region_set", "region").distinct()
     in_set = Window.partitionBy("region_set")
     size = F.count("*").over(in_set)
