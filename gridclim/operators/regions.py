@@ -105,14 +105,26 @@ def crosswalk(cells: DataFrame, regions: DataFrame, tile: float = 1.0) -> DataFr
 
 
 def aggregate_regions(
-    grid: DataFrame, xwalk: DataFrame, variables: list[str], keys: tuple[str, ...] = ("time",)
+    grid: DataFrame,
+    xwalk: DataFrame,
+    variables: list[str],
+    keys: tuple[str, ...] = ("time",),
+    scattered: bool = False,
 ) -> DataFrame:
     """Area-weighted mean per region; one job for all region sets.
 
     No join hint: the planner broadcasts the crosswalk when its table is small and
-    shuffles otherwise. Partial sums before the exchange leave one row per task,
-    region and key, so a region with many cells is not a hot spot.
+    shuffles otherwise. The join sends a cell to each of its regions, so what is
+    exchanged matters:
+
+    * Stores are written in time order, so a task holds whole days, and partial sums
+      leave about one row per region and day. This is the default.
+    * For ``scattered`` rows, as they come out of another exchange, cell rows are
+      partitioned by ``keys`` first. The joined rows are then never exchanged. A key
+      has at most one row per cell, so none is hot.
     """
+    if scattered:
+        grid = grid.repartition(*keys)
     joined = grid.join(xwalk.select(*REGION, *CELL, "w"), list(CELL))
     return joined.groupBy(*REGION, *keys).agg(
         *[numeric.weighted_mean(F.col(v), F.col("w")).alias(v) for v in variables]

@@ -78,7 +78,9 @@ def regional_indices(
         )
         frames = [(df.where(wanted), cols) for df, cols in frames]
     means = [
-        indices.to_long(regions.aggregate_regions(df, xwalk, list(cols), ("freq", "time")), cols)
+        indices.to_long(
+            regions.aggregate_regions(df, xwalk, list(cols), ("freq", "time"), scattered=True), cols
+        )
         for df, cols in frames
     ]
     labelled = combine.label_rolled(reduce(DataFrame.unionByName, means))
