@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialise
+
 BUCKET_ROWS = 1_000_000
 
 
@@ -69,3 +71,32 @@ def running_max(
         .withColumns({n: upto(n, own) for n, (_, own) in values.items()})
         .drop("_bucket", *helpers)
     )
+
+
+def rank_within(df: DataFrame, group: str, order: str, name: str) -> DataFrame:
+    """Adds the 0-based rank of ``order`` in its group, and ``<name>_of``, the group size.
+
+    Rows are range-partitioned by group and order, so a large group spreads over many
+    tasks. Each task ranks its own rows; what lies ahead comes from one count per
+    task and group. The partitioned rows are written once, so that both steps see the
+    same task numbers.
+    """
+    parts = materialise(
+        df.repartitionByRange(group, order).withColumn("_part", F.spark_partition_id())
+    )
+    sizes = parts.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    in_group = Window.partitionBy(group)
+    before = in_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sizes.select(
+        group,
+        "_part",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"),
+        F.sum("_n").over(in_group).alias(f"{name}_of"),
+    )
+    inside = Window.partitionBy(group, "_part").orderBy(order)
+    return (
+        parts.withColumn("_row", F.row_number().over(inside) - 1)
+        .join(F.broadcast(ahead), [group, "_part"])  # one row per task and group
+        .withColumn(name, F.col("_row") + F.col("_ahead"))
+        .drop("_part", "_row", "_ahead")
+    )

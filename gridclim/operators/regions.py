@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import CELL
 from ..functions import axis, geometry, numeric
@@ -14,11 +13,17 @@ REGION = ("region_set", "region")
 
 
 def unique_names(regions: DataFrame) -> DataFrame:
-    """``label``: the name, with the country added where a set repeats it."""
-    repeats = F.count("*").over(Window.partitionBy("region_set", "name")) > 1
-    return regions.withColumn(
-        "label",
-        F.when(repeats, F.concat("name", F.lit(" ("), "country", F.lit(")"))).otherwise(F.col("name")),
+    """``label``: the name, with the country added where a set repeats it.
+
+    Repeats are counted by a partial aggregate and joined back, so a name shared by
+    many regions does not gather them in one task.
+    """
+    counts = regions.groupBy("region_set", "name").agg(F.count("*").alias("repeats"))
+    long = F.concat("name", F.lit(" ("), "country", F.lit(")"))
+    return (
+        regions.join(counts.where(F.col("repeats") > 1), ["region_set", "name"], "left")
+        .withColumn("label", F.when(F.col("repeats").isNotNull(), long).otherwise(F.col("name")))
+        .select(*regions.columns, "label")
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import CELL
+from ..functions import text as strings
 from ..operators import quality
 from ..session import scratch_dir
 from ..sources import catalog, geojson, manifest, naming, store, tables
@@ -70,9 +71,17 @@ def s3(spark, sf):
     return found.groupBy("path").agg(F.count("*").alias("n"))
 
 
-@query("s3_list_folder")
+@query(
+    "s3_rows_of_listed_files",
+    """SELECT 'labels.parquet' AS name, count(*) AS n FROM labels UNION ALL SELECT 'lineitem.parquet', count(*) FROM lineitem
+    UNION ALL SELECT 'orders.parquet', count(*) FROM orders""",
+)
 def s3_folder(spark, sf):
-    return catalog.select_paths(catalog.list_paths(spark, sf, "*.parquet"), pattern="[lo]*")
+    listed = catalog.select_paths(catalog.list_paths(spark, sf, "*.parquet"), pattern="[lo]*")
+    names = listed.select(strings.basename(F.col("path")).alias("name"))
+    rows = spark.read.option("pathGlobFilter", "*.parquet").parquet(sf)
+    counts = rows.groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n"))
+    return counts.join(names, "name", "left_semi")
 
 
 @query(

@@ -7,10 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .. import CELL
-from ..functions import axis, numeric
+from ..functions import axis, numeric, ordered
 from ..model import require_columns
 from ..session import materialise
 
@@ -123,8 +122,15 @@ def upserted(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def align_labels(new: DataFrame, labels: DataFrame, dim: str) -> DataFrame:
-    """One row per stored label: unknown labels are dropped, absent ones are missing."""
-    return labels.select(dim).distinct().join(new, dim, "left")
+    """Rows of stored labels: unknown labels are dropped, absent ones are missing.
+
+    ``labels`` holds time filters, of which there are seventeen, so ``new`` is not
+    shuffled.
+    """
+    known = labels.select(dim).distinct()
+    kept = new.join(F.broadcast(known), dim, "left_semi")
+    absent = known.join(new.select(dim).distinct(), dim, "left_anti")
+    return kept.unionByName(absent, allowMissingColumns=True)
 
 
 def update_store(
@@ -140,7 +146,8 @@ def update_store(
         raise FileNotFoundError(f"store {path} does not exist")
     old = spark.read.parquet(path)
     if label_dim is not None:
-        new = new.join(old.select(label_dim).distinct(), label_dim, "left_semi")
+        known = old.select(label_dim).distinct()  # time filters, seventeen at most
+        new = new.join(F.broadcast(known), label_dim, "left_semi")
     # Read three times below, so computed once.
     new = materialise(new if "year" in new.columns else with_year(new))
     years = [r["year"] for r in new.select("year").distinct().collect()]  # bounded by the calendar
@@ -213,9 +220,9 @@ def with_tiles(df: DataFrame) -> DataFrame:
 
 def with_region_tiles(df: DataFrame) -> DataFrame:
     """``tile_region``: block of a region in its set, by rank of its id."""
-    regions = df.select("region_set", "region").distinct()
-    in_set = Window.partitionBy("region_set")
-    size = F.count("*").over(in_set)
-    rank = F.row_number().over(in_set.orderBy("region")) - 1
-    tile = F.floor(rank / F.when(size <= REGION_TILE_LIMIT, 1).otherwise(REGION_TILE))
-    return df.join(regions.withColumn("tile_region", tile), ["region_set", "region"])
+    regions = ordered.rank_within(
+        df.select("region_set", "region").distinct(), "region_set", "region", "rank"
+    )
+    size = F.when(F.col("rank_of") <= REGION_TILE_LIMIT, 1).otherwise(REGION_TILE)
+    tiles = regions.select("region_set", "region", F.floor(F.col("rank") / size).alias("tile_region"))
+    return df.join(tiles, ["region_set", "region"])
