@@ -21,9 +21,14 @@ def by_cell(df: DataFrame, variable: str) -> DataFrame:
     """``time, lat, lon, <variable>, cell``, partitioned by cell.
 
     One cell has one value per day, so no partition key is larger than the calendar.
+    The number of partitions is given, because spreading rows over days multiplies
+    them after the exchange has been sized.
     """
     cell = axis.cell_id(F.col("lat"), F.col("lon")).alias("cell")
-    return df.select("time", *CELL, F.col(variable).cast("double").alias(variable), cell).repartition("cell")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select("time", *CELL, F.col(variable).cast("double").alias(variable), cell).repartition(
+        n, "cell"
+    )
 
 
 def day_of_year_table(

@@ -129,7 +129,10 @@ def aggregate_regions(
       has at most one row per cell, so none is hot.
     """
     if scattered:
-        grid = grid.repartition(*keys)
+        # A number is given because the join multiplies the rows: sized by what goes
+        # in, the exchange would be coalesced to too few tasks.
+        n = int(grid.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        grid = grid.repartition(n, *keys)
     joined = grid.join(xwalk.select(*REGION, *CELL, "w"), list(CELL))
     return joined.groupBy(*REGION, *keys).agg(
         *[numeric.weighted_mean(F.col(v), F.col("w")).alias(v) for v in variables]

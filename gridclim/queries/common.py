@@ -39,5 +39,6 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def xwalk(spark: SparkSession, sf: str) -> DataFrame:
-    """The crosswalk as a table, the way a run keeps it."""
-    return materialise(regions.crosswalk(cells(spark, sf), tables.regions(spark, sf)))
+    """The crosswalk as a table, the way a run keeps it; outlines are a table as well."""
+    outlines = materialise(tables.regions(spark, sf))
+    return materialise(regions.crosswalk(cells(spark, sf), outlines))

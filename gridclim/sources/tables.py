@@ -196,19 +196,17 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(place % 10 == 1, "/input")
         .otherwise("/step")
     )
-    text = F.format_string(
-        '{"timestamp": "%s", "request_id": "run-%d", "task": "%s", "action": "%s", '
-        '"action_id": "act-%d", "input_args": ["--user=%d", "--k=%d"], "output_files": ["out_%d.nc"], '
-        '"props": %s}',
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
-        run,
-        F.col("event_type"),
-        action,
-        n,
-        F.col("user_id"),
-        place,
-        n,
-        F.col("props"),
-    )
+    pieces = [
+        ('{"timestamp": "', F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")),
+        ('", "request_id": "run-', run),
+        ('", "task": "', F.col("event_type")),
+        ('", "action": "', action),
+        ('", "action_id": "act-', n),
+        ('", "input_args": ["--user=', F.col("user_id")),
+        ('", "--k=', place),
+        ('"], "output_files": ["out_', n),
+        ('.nc"], "props": ', F.col("props")),
+    ]
+    text = F.concat(*[c for lead, v in pieces for c in (F.lit(lead), v.cast("string"))], F.lit("}"))
     blank = (n % 7 == 0) & (place % 10).isin(4, 5)
     return e.select(n.alias("line_no"), F.when(blank, F.lit("  ")).otherwise(text).alias("line"))
