@@ -96,7 +96,7 @@ def rank_within(df: DataFrame, group: str, order: str, name: str) -> DataFrame:
     inside = Window.partitionBy(group, "_part").orderBy(order)
     return (
         parts.withColumn("_row", F.row_number().over(inside) - 1)
-        .join(F.broadcast(ahead), [group, "_part"])  # one row per task and group
+        .join(ahead, [group, "_part"])
         .withColumn(name, F.col("_row") + F.col("_ahead"))
         .drop("_part", "_row", "_ahead")
     )

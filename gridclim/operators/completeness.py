@@ -95,10 +95,8 @@ def complete_cell_periods(
         F.count(variable).alias("n")
     )
     expected = calendar.expected_counts(df.sparkSession, sample).where(F.col("freq") == freq)
-    return (
-        counts.join(F.broadcast(expected), F.col("n") >= F.col("expected") * F.lit(valid_fraction), "left_semi")
-        .select(*CELL, "time")
-    )
+    needed = expected.select((F.col("expected") * F.lit(valid_fraction)).alias("needed")).scalar()
+    return counts.where(F.col("n") >= needed).select(*CELL, "time")
 
 
 def keep_complete(index: DataFrame, periods: DataFrame, freq: str | None = None) -> DataFrame:

@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import canon, regions, units
-from ..session import materialise
 from ..sources import store
 from . import incremental
 
@@ -32,7 +31,11 @@ def ingest(
     end: dt.date,
     overwrite: bool = False,
 ) -> dict[str, bool]:
-    """Write or update ``<root>/grid`` and ``<root>/regional``; says what changed."""
+    """Write or update ``<root>/grid`` and ``<root>/regional``; says what changed.
+
+    The crosswalk is built once, as ``<root>/crosswalk``, and reused by later runs; new
+    outlines need ``overwrite``.
+    """
     grid_path, regional_path = f"{root}/grid", f"{root}/regional"
     mode = "overwrite" if overwrite else "skip"
     days = canon.between_dates(grid.select("time", "lat", "lon", *variables), None, end.isoformat())
@@ -40,7 +43,10 @@ def ingest(
     if not written:
         written = incremental.update_grid(spark, grid_path, days, end)
     whole = spark.read.parquet(grid_path)
-    xwalk = materialise(regions.crosswalk(regions.cells_of(whole), outlines))
+    xwalk_path = f"{root}/crosswalk"
+    if overwrite or not store.exists(spark, xwalk_path):
+        store.write_store(regions.crosswalk(regions.cells_of(whole), outlines), xwalk_path, mode)
+    xwalk = spark.read.parquet(xwalk_path)
     first = overwrite or not store.exists(spark, regional_path)
     if first:
         means = regions.aggregate_regions(whole, xwalk, variables)

@@ -130,15 +130,11 @@ def x5(spark, sf):
     WHERE CASE WHEN a <= z THEN month(time) BETWEEN a AND z ELSE month(time) >= a OR month(time) <= z END GROUP BY 1, 2""",
 )
 def x6(spark, sf):
-    # Twelve rows of daily totals by month meet seventeen filters.
-    monthly = tables.grid_daily(spark, sf).groupBy(F.month("time").alias("m")).agg(
+    monthly = tables.grid_daily(spark, sf).groupBy(F.month("time").alias("month")).agg(
         F.count("*").alias("n"), F.sum("pr").alias("pr")
     )
-    filters = F.broadcast(registries.time_filters_table(spark))
-    m, low, high = F.col("m"), F.col("first_month"), F.col("last_month")
-    hit = F.when(low <= high, m.between(low, high)).otherwise((m >= low) | (m <= high))
     return (
-        monthly.join(filters, hit)
+        monthly.join(F.broadcast(registries.filter_months(spark)), "month")
         .groupBy("time_filter", "months")
         .agg(F.sum("n").alias("n"), F.round(F.sum("pr"), 5).alias("pr"))
     )
@@ -157,10 +153,11 @@ def x6(spark, sf):
 )
 def x6_periods(spark, sf):
     orders = tables.table(spark, sf, "orders")
-    yearly = orders.groupBy((F.col("o_custkey") % 110 + 1991).alias("y")).agg(F.count("*").alias("n"))
-    periods = F.broadcast(registries.periods_table(spark))
+    yearly = orders.groupBy((F.col("o_custkey") % 110 + 1991).cast("int").alias("year")).agg(
+        F.count("*").alias("n")
+    )
     return (
-        yearly.join(periods, F.col("y").between(F.col("first_year"), F.col("last_year")))
+        yearly.join(F.broadcast(registries.period_years(spark)), "year")
         .groupBy("variable", "period")
         .agg(F.sum("n").alias("n"))
     )

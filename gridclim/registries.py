@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .session import small_table
 
@@ -251,6 +252,23 @@ def time_filters_table(spark: SparkSession) -> DataFrame:
     )
 
 
+def filter_months(spark: SparkSession) -> DataFrame:
+    """``time_filter, months, month``: every month of every filter."""
+    low, high = F.col("first_month"), F.col("last_month")
+    year = F.sequence(F.lit(1), F.lit(12))
+    inside = F.filter(
+        year,
+        lambda m: F.when(low <= high, m.between(low, high)).otherwise((m >= low) | (m <= high)),
+    )
+    return time_filters_table(spark).select("time_filter", "months", F.explode(inside).alias("month"))
+
+
+def period_years(spark: SparkSession) -> DataFrame:
+    """``variable, period, year``: every year of every named period."""
+    years = F.sequence("first_year", "last_year")
+    return periods_table(spark).select("variable", "period", F.explode(years).alias("year"))
+
+
 def periods_table(spark: SparkSession) -> DataFrame:
     rows = [
         (v, p, int(_SPANS[p][:4]), int(_SPANS[p][5:])) for v, names in PERIODS.items() for p in names
