@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import CELL
-from ..model import PercentileSpec, SEASONAL, MONTHLY
+from ..model import MONTHLY, SEASONAL, PercentileSpec
 from ..operators import combine, compare, completeness, indices, percentiles, regions, resample
 from ..plans import incremental
 from ..sources import manifest, naming, store, tables
 from . import query
 from . import sql as q
-from .common import big, cells, flag, r6, text, xwalk
+from .common import cells, flag, r6, text, xwalk
 
 
 @query(
