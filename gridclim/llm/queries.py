@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, sql
+from . import decontaminate, language, minhash, secrets, sql
 from .common import read
 
 
@@ -14,10 +14,25 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(read(spark, sf_dir, "documents"), words=2)
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontamination,
+        op2_minhash,
+        op4_secrets,
+        op9_language,
     )
 }
 
