@@ -36,4 +36,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {"op1_decontamination": sql.DECONTAMINATION}
+SQL: dict[str, str] = {"op1_decontamination": sql.DECONTAMINATION, "op2_minhash": sql.NEAR_DUPLICATES}

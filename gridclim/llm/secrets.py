@@ -91,7 +91,7 @@ class Models:
 
     def mean_ratio(self, token: Column) -> Column:
         table = F.split(F.lit(" ".join(map(str, self.ratios))), " ").cast("array<double>")  # folded once
-        place = lambda i: F.locate(F.substring(token, i, F.lit(1)), F.lit(ALPHABET)) - 1
+        place = lambda i: F.position(F.substring(token, i, F.lit(1)), F.lit(ALPHABET)) - 1
         total = F.aggregate(
             F.sequence(F.lit(1), F.char_length(token) - 1),
             F.lit(0.0),

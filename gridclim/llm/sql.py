@@ -28,3 +28,36 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN per USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_SPLIT = r"regexp_split_to_array(" + _LOWER + r", '[ \t\n\v\f\r]+')"
+
+# Candidates share one of the rarest shingles of both sets: a fifth of a set and one more
+# cannot miss what the other set holds at 80 percent.
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter({_SPLIT}, lambda x: x <> '') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+  FROM d, unnest(range(1, greatest(len(w), 2))) AS t(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+f AS (SELECT g, count(*) AS f FROM s GROUP BY g),
+r AS (SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id ORDER BY f, g) AS k FROM s JOIN f USING (g)),
+p AS (SELECT doc_id, g FROM r JOIN n USING (doc_id) WHERE k <= n // 5 + 1),
+c AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM p AS a JOIN p AS b ON a.g = b.g AND a.doc_id < b.doc_id),
+o AS (
+  SELECT a, b, count(*) AS o FROM c JOIN s AS x ON x.doc_id = c.a JOIN s AS y ON y.doc_id = c.b AND y.g = x.g
+  GROUP BY a, b
+),
+e AS (
+  SELECT a, b FROM o JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+  WHERE 100 * o >= 80 * (x.n + y.n - o)
+),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach AS (SELECT a AS doc_id, b AS other FROM u UNION SELECT reach.doc_id, u.b FROM reach JOIN u ON reach.other = u.a),
+least AS (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(m, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
