@@ -29,8 +29,8 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"  # a whole run of 32 or more, as runs are taken greedily
-# Longest first token for the models, cut out where nothing else was found.
-TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
+# A whole run of token characters with a digit in it, for the models to judge.
+TOKEN = r"(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
 IDENTIFIER = r"[A-Za-z_-]{4,}"
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
@@ -46,19 +46,34 @@ def _running(lengths: Column) -> Column:
 
 def running_sums(lengths: Column, block: int = 256) -> Column:
     """Running sums of an array of any length, block by block, as appending copies an array."""
-    blocks = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(lengths) / block).cast("int") - 1, F.lit(0)))
-    part = lambda b: F.slice(lengths, b * block + 1, F.lit(block))
-    ends = _running(F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda a, x: a + x)))
-    before = F.concat(F.array(F.lit(0)), ends)
-    return F.flatten(F.zip_with(blocks, ends, lambda b, e: F.transform(_running(part(b)), lambda x: x + F.get(before, b))))
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.ceil(F.size(lengths) / block).cast("int") - 1, F.lit(0))),
+        lambda b: _running(F.slice(lengths, b * block + 1, F.lit(block))),
+    )
+    ends = lambda parts: _running(F.transform(parts, lambda p: F.coalesce(F.try_element_at(p, F.lit(-1)), F.lit(0))))
+    shifted = lambda parts, e: F.zip_with(
+        parts, F.concat(F.array(F.lit(0)), F.slice(e, F.lit(1), F.size(e) - 1)), lambda p, o: F.transform(p, lambda x: x + o)
+    )
+    return let(blocks, lambda parts: let(ends(parts), lambda e: F.flatten(shifted(parts, e))))
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where a lambda repeats."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _pieces(text: Column, pattern: str) -> Column:
     """(start, match) of each leftmost match that does not overlap the one before."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)  # one more than there are matches
-    steps = F.transform(found, lambda m, i: F.char_length(m) + F.char_length(F.get(gaps, i)))
-    return F.zip_with(found, running_sums(steps), lambda m, e: F.struct((e - F.char_length(m)).alias("start"), m.alias("m")))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))  # without the one behind the last match
+    both = F.zip_with(
+        gaps, found, lambda g, m: F.struct((F.char_length(g) + F.char_length(m)).alias("step"), m.alias("m"))
+    )
+    placed = lambda x: F.zip_with(
+        x, let(F.transform(x, lambda y: y["step"]), lambda v: running_sums(v)),
+        lambda y, e: F.struct((e - F.char_length(y["m"])).alias("start"), y["m"].alias("m")),
+    )
+    return let(both, placed)
 
 
 def _spans(text: Column, pattern: str, rank: int, kind: str, keep, there: Column) -> Column:
@@ -160,7 +175,7 @@ def scan(docs: DataFrame, models: Models, *, text_col: str = "text", threshold:
     text = whole(text_col)
     base = base_spans(text)
     named = docs.withColumns(base)
-    token = lambda m: F.regexp_like(m, F.lit("[0-9]")) & F.regexp_like(m, F.lit("[A-Za-z]")) & (models.mean_ratio(m) > threshold)
+    token = lambda m: F.regexp_like(m, F.lit("[A-Za-z]")) & (models.mean_ratio(m) > threshold)
     maybe = _spans(text, TOKEN, 3, "markov", token, F.regexp_like(text, F.lit(TOKEN)))
     listed = F.concat("assign", "access", "hex")
     return (
