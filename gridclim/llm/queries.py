@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, secrets, sql
+from . import decontaminate, language, minhash, secrets, sql, toxicity
 from .common import read
 
 
@@ -22,6 +22,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_decontamination,
         op2_minhash,
         op4_secrets,
+        op7_toxicity,
         op9_language,
     )
 }
