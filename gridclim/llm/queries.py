@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, secrets, sql, toxicity
+from . import decontaminate, language, minhash, repeats, secrets, sql, toxicity
 from .common import read
 
 
@@ -26,6 +26,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(read(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_minhash,
         op4_secrets,
         op7_toxicity,
+        op8_repeats,
         op9_language,
     )
 }
