@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, minhash, repeats, secrets, sql, toxicity
+from . import decontaminate, fingerprint, language, minhash, repeats, secrets, sql, toxicity
 from .common import read
 
 
@@ -18,6 +18,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.report(read(spark, sf_dir, "documents"), words=2)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(read(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination,
         op2_minhash,
+        op3_fingerprints,
         op4_secrets,
         op7_toxicity,
         op8_repeats,
