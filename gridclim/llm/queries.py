@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, language, minhash, repeats, secrets, sql, toxicity
+from . import decontaminate, fingerprint, language, minhash, repeats, secrets, sentencepiece, sql, toxicity
 from .common import read
 
+# Vocabulary files of public tokenizers, on the driver only.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -26,6 +29,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = sentencepiece.Vocabulary.read(PIECES)
+    return sentencepiece.report(read(spark, sf_dir, "documents"), vocabulary)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -45,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_minhash,
         op3_fingerprints,
         op4_secrets,
+        op6_sentencepiece,
         op7_toxicity,
         op8_repeats,
         op9_language,
