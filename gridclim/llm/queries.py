@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, language, minhash, repeats, secrets, sentencepiece, sql, toxicity
+from ..session import scratch_dir
+from . import decontaminate, fingerprint, language, minhash, repeats, secrets, sentencepiece, sql, token_counts, toxicity
 from .common import read
 
 # Vocabulary files of public tokenizers, on the driver only.
+# Fixed values of the rank file: its splitting pattern and a number it leaves free.
+RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+END_OF_DOCUMENT = 50256
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -46,6 +51,11 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = token_counts.ranks(RANKS)
+    return token_counts.report(read(spark, sf_dir, "documents"), scratch_dir(spark), ranks, SPLIT, END_OF_DOCUMENT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -57,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_toxicity,
         op8_repeats,
         op9_language,
+        op10_token_counts,
     )
 }
 
