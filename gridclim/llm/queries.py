@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import decontaminate, fingerprint, language, minhash, repeats, secrets, sentencepiece, sql, token_counts, toxicity
+from . import decontaminate, fingerprint, language, licenses, minhash, repeats, secrets, sentencepiece, sql, token_counts, toxicity
 from .common import read
 
 # Vocabulary files of public tokenizers, on the driver only.
@@ -34,6 +34,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(read(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(read(spark, sf_dir, "documents"), licenses.notices(spark))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = sentencepiece.Vocabulary.read(PIECES)
     return sentencepiece.report(read(spark, sf_dir, "documents"), vocabulary)
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_minhash,
         op3_fingerprints,
         op4_secrets,
+        op5_licenses,
         op6_sentencepiece,
         op7_toxicity,
         op8_repeats,
@@ -71,4 +76,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-SQL: dict[str, str] = {"op1_decontamination": sql.DECONTAMINATION, "op2_minhash": sql.NEAR_DUPLICATES}
+SQL: dict[str, str] = {"op1_decontamination": sql.DECONTAMINATION, "op2_minhash": sql.NEAR_DUPLICATES, "op5_licenses": sql.LICENSES}

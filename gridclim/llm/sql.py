@@ -1,5 +1,7 @@
 """DuckDB SQL for the operators that SQL can express."""
 
+from .licenses import NOTICES, SPELLINGS
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"list_filter(regexp_split_to_array({_LOWER}, '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'), lambda x: x <> '')"
 
@@ -61,3 +63,31 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.d
   d.doc_id <= coalesce(m, d.doc_id) AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
 """
+
+
+def _canonical(text: str) -> str:
+    t = f"regexp_replace(lower(coalesce({text}, '')), '(?m)^[ \\t]*(?:copyright|©|\\(c\\))[^\\n]*$', '', 'g')"
+    t = f"regexp_replace({t}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    for old, new in SPELLINGS:
+        t = f"replace({t}, '{old}', '{new}')"
+    return t
+
+
+_FLAT = "trim(regexp_replace(u, '[ \\n]+', ' ', 'g'))"
+_KNOWN = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in row)) for row in NOTICES)
+
+# All built-in notices are one paragraph.
+LICENSES = f"""
+WITH k AS (SELECT license, {_FLAT} AS flat FROM (SELECT license, {_canonical("text")} AS u FROM (VALUES {_KNOWN}) AS v(license, text))),
+d AS (SELECT doc_id, {_canonical("text")} AS t FROM documents),
+u AS (
+  SELECT doc_id, 1 AS w, t AS u FROM d
+  UNION ALL SELECT doc_id, 0, unnest(string_split(t, chr(10))) FROM d
+  UNION ALL SELECT doc_id, 0, unnest(regexp_split_to_array(trim(t), '\\n[ \\n]*\\n')) FROM d
+),
+f AS (SELECT DISTINCT doc_id, w, license FROM (SELECT doc_id, w, {_FLAT} AS flat FROM u) AS x JOIN k USING (flat)),
+g AS (SELECT doc_id, max(w) = 1 AS is_license, list_sort(list(DISTINCT license)) AS found FROM f GROUP BY doc_id)
+SELECT doc_id, coalesce(is_license, false) AS is_license, coalesce(len(found), 0) AS n_licenses,
+  coalesce(array_to_string(found, ','), '') AS licenses
+FROM documents LEFT JOIN g USING (doc_id)
+"""
