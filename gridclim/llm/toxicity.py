@@ -108,9 +108,8 @@ def sample(
     for label in (0, 1):
         some = rated.where(F.col("toxic") == label).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
         chosen = some if chosen is None else chosen.union(some)
-    return docs.join(F.broadcast(chosen), docs[id_col] == F.col("_id")).select(
-        F.col("_id").alias("id"), whole(docs[text_col]).alias("text"), "toxic"
-    )
+    texts = docs.select(F.col(id_col).alias("_id"), whole(text_col).alias("text"))
+    return texts.join(F.broadcast(chosen), "_id").select(F.col("_id").alias("id"), "text", "toxic")
 
 
 def _dictionary(pieces: list[bytes], size: int, **options: int) -> bytes:
