@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import registries
-from ..model import ANNUAL, DAILY, MONTHLY, SEASONAL, STANDARD_FREQS, WEEKLY, WEEKLY_MONDAY
+from ..model import ALL_FREQS, ANNUAL, DAILY, MONTHLY, SEASONAL, STANDARD_FREQS, WEEKLY, WEEKLY_MONDAY
 from ..session import small_table
 
 
@@ -122,7 +122,7 @@ def expected_counts(spark: SparkSession, sample: str = DAILY) -> DataFrame:
             F.array(
                 *[
                     F.struct(F.lit(f).alias("freq"), period_start(F.col("time"), f).alias("start"))
-                    for f in STANDARD_FREQS
+                    for f in (ALL_FREQS if sample == DAILY else STANDARD_FREQS)
                 ]
             )
         ).alias("p")

@@ -9,7 +9,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Frequency codes.
 MONTHLY = "MS"
@@ -21,13 +20,8 @@ DAILY = "D"
 ALL_FREQS = (MONTHLY, SEASONAL, ANNUAL, WEEKLY_MONDAY, WEEKLY, DAILY)
 STANDARD_FREQS = (MONTHLY, SEASONAL, ANNUAL)
 
-REGION_SETS = ("NUTS-0", "NUTS-1", "NUTS-2", "NUTS-3")
-
 RINGS = "array<array<struct<x:double,y:double>>>"
-GRID_SCHEMA = "time date, lat double, lon double, tas double, tasmin double, tasmax double, pr double"
 REGIONS_SCHEMA = f"region_set string, region string, name string, country string, rings {RINGS}"
-META_SCHEMA = "dataset string, attrs map<string,string>"
-CHECKPOINT_SCHEMA = "dataset string, freq string, last_period date"
 
 _COMPARE = {
     "gt": Column.__gt__,
@@ -143,7 +137,8 @@ class IndexDef:
     season: SeasonWindow | None = None
     threshold: Threshold | None = None
     reducer: Callable[[Column], Column] | None = None
-    freqs: tuple[str, ...] = STANDARD_FREQS
+    freqs: tuple[str, ...] = STANDARD_FREQS  # what is computed unless asked otherwise
+    more_freqs: tuple[str, ...] = ()  # further ones on request
 
     @property
     def variable(self) -> str:
@@ -176,7 +171,3 @@ def require_columns(df: DataFrame, names: tuple[str, ...] | list[str]) -> None:
     absent = [n for n in names if n not in df.columns]
     if absent:
         raise KeyError(f"missing columns {absent}; available: {df.columns}")
-
-
-def ddl(schema: str) -> T.StructType:
-    return T.StructType.fromDDL(schema)

@@ -19,6 +19,7 @@ SPATIAL_SCHEMES = (
     (("lon",), {}),
     (("longitude",), {"longitude": "lon", "latitude": "lat"}),
     (("x",), {"x": "lon", "y": "lat"}),
+    (("y",), {"x": "lon", "y": "lat"}),
 )
 
 
@@ -35,7 +36,7 @@ def rename_time(df: DataFrame) -> DataFrame:
     return df.withColumnRenamed("valid_time", "time")
 
 
-def rename_variable(df: DataFrame, name: str, coordinates: tuple[str, ...] = ("time", "lat", "lon")) -> DataFrame:
+def rename_variable(df: DataFrame, name: str, coordinates: tuple[str, ...] = ("time", "lat", "lon", "x", "y")) -> DataFrame:
     """Rename the only column that is no coordinate."""
     data = [c for c in df.columns if c not in coordinates]
     if len(data) != 1:

@@ -15,6 +15,8 @@ from ..model import (
     NEEDS_INPUT,
     NEEDS_PERCENTILE,
     STANDARD_FREQS,
+    WEEKLY,
+    WEEKLY_MONDAY,
     IndexConfig,
     IndexContext,
     IndexDef,
@@ -61,6 +63,10 @@ def share_above_percentile(df: DataFrame, context: IndexContext) -> DataFrame:
     return out.withColumn(variable, F.try_divide("over", "total")).drop("over", "total")
 
 
+# Thresholds of one day's temperature also make sense over weeks and days.
+SHORT_FREQS = (WEEKLY_MONDAY, WEEKLY, DAILY)
+
+
 def _day_count(name: str, variable: str, value: float, op: str, title: str | None = None) -> IndexDef:
     return IndexDef(
         name=name,
@@ -71,6 +77,7 @@ def _day_count(name: str, variable: str, value: float, op: str, title: str | Non
         needs=NEEDS_INPUT,
         options={"test": Threshold(value, op)},
         threshold=Threshold(value, op),
+        more_freqs=SHORT_FREQS if name == "fd" or name.startswith("tx") else (),
     )
 
 
@@ -152,7 +159,7 @@ def index_table(spark: SparkSession) -> DataFrame:
 def validate_freqs(index: IndexDef, freqs: tuple[str, ...] | list[str] | str | None) -> tuple[str, ...]:
     """Requested frequencies, all of them by default; an unsupported one is an error."""
     wanted = index.freqs if freqs is None else (freqs,) if isinstance(freqs, str) else tuple(freqs)
-    refused = [f for f in wanted if f not in index.freqs]
+    refused = [f for f in wanted if f not in (*index.freqs, *index.more_freqs)]
     if refused:
         raise ValueError(f"{index.name} is not available at {refused}")
     return wanted
@@ -222,9 +229,10 @@ def _reduce(
     if index.season is None:
         reducer = resample.guarded(reducer, freq, sample)
     df = df.withColumn("_tested", tested)
-    return resample.resample(
-        df, freq, {variable: reducer(F.col("_tested")), "n_valid": F.count(value)}
-    )
+    columns = {variable: reducer(F.col("_tested"))}
+    if index.season is None:  # else presence is judged on the whole input
+        columns["n_valid"] = F.count(value)
+    return resample.resample(df, freq, columns)
 
 
 def mask_empty_cells(out: DataFrame, grid: DataFrame, variable: str) -> DataFrame:
@@ -248,20 +256,27 @@ def count_indices_wide(
     grid: DataFrame,
     names: tuple[str, ...] = COUNT_INDICES,
     freqs: tuple[str, ...] = STANDARD_FREQS,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """``lat, lon, freq, time`` and one column per count index, in one pass.
 
     The daily rows are read and shuffled once, as monthly counts; seasons and years
-    are sums of those.
+    are sums of those. A cell is missing if it has no value at any time: in ``grid``,
+    or in ``history`` where ``grid`` is only the newest part of it.
     """
     variables = tuple(sorted({get_index(n).index.variable for n in names}))
     aggregates = count_expressions(names)
     valid = {f"valid_{v}": F.count(v) for v in variables}
     monthly = resample.resample(grid, MONTHLY, {**aggregates, **valid})
     rolled = resample.roll_up(monthly, freqs, (*aggregates, *valid))
-    cell = Window.partitionBy("cell")
-    present = {v: F.sum(f"valid_{v}").over(cell) > 0 for v in variables}
-    rolled = rolled.withColumns({f"has_{v}": p for v, p in present.items()})
+    if history is None:
+        cell = Window.partitionBy("cell")
+        present = {v: F.sum(f"valid_{v}").over(cell) > 0 for v in variables}
+        rolled = rolled.withColumns({f"has_{v}": p for v, p in present.items()})
+    else:
+        cell = axis.cell_id(F.col("lat"), F.col("lon")).alias("cell")
+        ever = history.groupBy(cell).agg(*[(F.count(v) > 0).alias(f"has_{v}") for v in variables])
+        rolled = rolled.join(ever, "cell", "left")
     return rolled.select(
         *CELL,
         "freq",

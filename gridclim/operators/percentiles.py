@@ -21,15 +21,16 @@ def by_cell(df: DataFrame, variable: str) -> DataFrame:
     """``time, lat, lon, <variable>, cell``, partitioned by cell.
 
     One cell has one value per day, so no partition key is larger than the calendar.
-    The number of partitions is given, because spreading rows over days multiplies
-    them after the exchange has been sized. The filter is one a join on the cell adds
+    No number is given, so that the runtime sizes the exchange by its input. Spreading
+    rows over days multiplies them afterwards, sixfold by default: where memory is
+    short, lower ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` as much, and raise
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``. The filter is one a join on the cell adds
     to one of its sides anyway; with it on both, the observations and the history of
     the same grid share one exchange.
     """
     cell = axis.cell_id(F.col("lat"), F.col("lon")).alias("cell")
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.select("time", *CELL, F.col(variable).cast("double").alias(variable), cell)
-    return placed.where(F.col("cell").isNotNull()).repartition(n, "cell")
+    return placed.where(F.col("cell").isNotNull()).repartition("cell")
 
 
 def day_of_year_table(

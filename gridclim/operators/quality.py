@@ -11,14 +11,14 @@ from ..functions import axis
 
 
 def axis_sizes(df: DataFrame, dims: tuple[str, ...] = ("time", "lat", "lon")) -> list[Column]:
-    """Distinct labels per axis. Axes are bounded by calendar and extent, so sets are
-    merged in one pass instead of expanding every row once per axis."""
-    return [F.size(F.collect_set(d)).cast("bigint").alias(f"n_{d}") for d in dims]
+    """Distinct labels per axis, each counted on its own: a scan of one column with a
+    partial distinct in every task."""
+    return [axis.scalar(df.select(d).distinct(), F.count(d)).alias(f"n_{d}") for d in dims]
 
 
 def profile(df: DataFrame, dims: tuple[str, ...] = ("time", "lat", "lon")) -> DataFrame:
     """Long form ``dim, size`` of a store."""
-    sizes = df.agg(*axis_sizes(df, dims))
+    sizes = df.sparkSession.range(1).select(*axis_sizes(df, dims))
     pairs = [F.struct(F.lit(d).alias("dim"), F.col(f"n_{d}").alias("size")) for d in dims]
     return sizes.select(F.explode(F.array(*pairs)).alias("p")).select("p.dim", "p.size")
 
@@ -31,9 +31,11 @@ def _counts(value: Column) -> list[Column]:
 def dataset_summary(df: DataFrame, variable: str) -> DataFrame:
     """Total, valid and missing points of the full box, share valid, min and max."""
     value = F.col(variable)
-    base = df.agg(
-        *axis_sizes(df), F.count(value).alias("valid"), F.min(value).alias("min"), F.max(value).alias("max")
-    ).withColumn("total", F.col("n_time") * F.col("n_lat") * F.col("n_lon"))
+    base = (
+        df.agg(F.count(value).alias("valid"), F.min(value).alias("min"), F.max(value).alias("max"))
+        .select("*", *axis_sizes(df))
+        .withColumn("total", F.col("n_time") * F.col("n_lat") * F.col("n_lon"))
+    )
     return base.select("total", "valid", *_counts(value), "min", "max")
 
 
@@ -44,7 +46,7 @@ def step_summary(df: DataFrame, variable: str, positions: DataFrame) -> DataFram
     broadcast.
     """
     value = F.col(variable)
-    box = df.agg(*axis_sizes(df, ("lat", "lon"))).select((F.col("n_lat") * F.col("n_lon")).alias("n")).scalar()
+    n_lat, n_lon = (axis.scalar(df.select(d).distinct(), F.count(d)) for d in CELL)
     stats = (
         df.join(F.broadcast(positions), "time")
         .groupBy("time", "position")
@@ -55,7 +57,7 @@ def step_summary(df: DataFrame, variable: str, positions: DataFrame) -> DataFram
             F.avg(value).alias("mean"),
             F.stddev_pop(value).alias("std"),
         )
-        .withColumn("total", box)
+        .withColumn("total", n_lat * n_lon)
     )
     return stats.select(
         "time", "position", "total", "valid", *_counts(value), "min", "max", "mean", "std"
@@ -71,16 +73,20 @@ def first_middle_last(df: DataFrame) -> DataFrame:
 
 
 def random_steps(df: DataFrame, k: int = 5, seed: int = 0) -> DataFrame:
-    """``k`` time steps drawn without replacement."""
-    return axis.time_positions(df).orderBy(F.rand(seed)).limit(k)
+    """``k`` time steps drawn without replacement: those with the smallest hash of seed
+    and label, whatever the partitioning."""
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col("time").cast("string")))
+    return axis.time_positions(df).orderBy(drawn, "time").limit(k)
 
 
-def suspicious_values(df: DataFrame, variable: str, steps: int = 10) -> DataFrame:
-    """Whether the first steps hold infinite, zero or negative values."""
+def suspicious_values(df: DataFrame, variable: str, steps: int | None = None) -> DataFrame:
+    """Whether any value is infinite, zero or negative; with ``steps`` in the first ones only."""
     value = F.col(variable)
-    head = axis.time_axis(df).orderBy("time").limit(steps)  # the check is defined on the first steps
     inf = F.lit(float("inf"))
-    rows = df.join(F.broadcast(head), "time", "left_semi")
+    rows = df
+    if steps is not None:
+        head = axis.time_axis(df).orderBy("time").limit(steps)
+        rows = df.join(head, "time", "left_semi")
 
     def any_of(cond: Column) -> Column:
         return F.coalesce(F.bool_or(cond), F.lit(False))

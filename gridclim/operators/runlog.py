@@ -47,7 +47,8 @@ def latest_runs(entries: DataFrame, bucket_rows: int = ordered.BUCKET_ROWS) -> D
 
     A change of id starts a new run; an id that returns replaces its earlier run.
     The start of the last run per id is a small aggregate joined back, so one busy
-    id is not gathered in one task.
+    id is not gathered in one task. Lines without an id belong to no run; they are
+    what :func:`unassigned` returns.
     """
     marked = ordered.previous(entries, "line_no", "request_id", "_before", bucket_rows)
     starts = (
@@ -61,6 +62,11 @@ def latest_runs(entries: DataFrame, bucket_rows: int = ordered.BUCKET_ROWS) -> D
     )
 
 
+def unassigned(entries: DataFrame) -> DataFrame:
+    """Lines without a request id, which no run can claim."""
+    return entries.where(F.col("request_id").isNull())
+
+
 def values_for_key(
     entries: DataFrame, key: str, action: str | None = None, required: bool = False
 ) -> DataFrame:

@@ -27,7 +27,7 @@ def _complete_frames(
     for name in names:
         indices.validate_freqs(indices.get_index(name).index, freqs)
     counts = tuple(n for n in names if n in indices.COUNT_INDICES)
-    frames = [(indices.count_indices_wide(grid, counts, freqs), counts)] if counts else []
+    frames = [(indices.count_indices_wide(grid, counts, freqs, history), counts)] if counts else []
     frames += [
         (indices.precipitation_shares(grid, freqs, history, n), (n,)) for n in names if n not in counts
     ]
@@ -46,8 +46,8 @@ def cell_indices(
 ) -> DataFrame:
     """``lat, lon, index, time, time_filter, period, value`` of complete periods.
 
-    ``history`` is what percentiles refer to and ``axis_of`` what completeness is
-    judged on; both default to the grid.
+    ``history`` is what percentiles refer to and what decides whether a cell has values
+    at all, and ``axis_of`` what completeness is judged on; both default to the grid.
     """
     frames = _complete_frames(grid, names, freqs, history, valid_fraction, axis_of)
     long = reduce(DataFrame.unionByName, [indices.to_long(df, cols) for df, cols in frames])

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import axis, calendar, numeric
 from ..model import STANDARD_FREQS
-from ..operators import canon, completeness, regions
+from ..operators import canon, completeness
+from ..session import materialise
 from ..sources import metadata, store
 from . import derived_index
 
@@ -41,16 +42,24 @@ def update_grid(
     end: dt.date,
     attrs: dict[str, str] | None = None,
 ) -> bool:
-    """Append the days after the last stored one up to ``end``. False when there are none."""
-    last = last_date(spark.read.parquet(path), attrs)
-    if last is not None and last >= end:
-        return False
-    start = None if last is None else (last + dt.timedelta(days=1)).isoformat()
-    new = canon.between_dates(source, start, end.isoformat())
-    if new.isEmpty():
-        return False
-    store.update_store(spark, path, new, GRID_KEY)
-    return True
+    """Append the days up to ``end`` that the store lacks. False when there are none.
+
+    Years are swapped one by one when an update commits. What a broken commit left out is
+    among the lacking days and comes with the next run. With ``attrs`` the days after the
+    end of ``dcterms:valid`` are due instead.
+    """
+    stored = spark.read.parquet(path)
+    days = canon.between_dates(source, None, end.isoformat())
+    if attrs is not None:
+        last = last_date(stored, attrs)
+        if last is not None and last >= end:
+            return False
+        start = None if last is None else (last + dt.timedelta(days=1)).isoformat()
+        due = canon.between_dates(days, start, None)
+    else:
+        absent = axis.time_axis(days).join(axis.time_axis(stored), "time", "left_anti")
+        due = days.join(absent, "time", "left_semi")
+    return store.update_store(spark, path, store.clean(due), GRID_KEY)
 
 
 def region_increment(
@@ -58,20 +67,20 @@ def region_increment(
 ) -> DataFrame:
     """Crosswalk rows joined to the days each region set still lacks.
 
-    ``stored`` is the regional store; a set it does not hold is due from the start.
+    ``stored`` is the regional store. Each set has its own days: one that lags behind, was
+    never written, or lost a year to a broken commit is due where it lacks something.
     """
-    last = stored.groupBy("region_set").agg(F.max("time").alias("last"))
-    due = xwalk.join(F.broadcast(last), "region_set", "left")  # one row per region set
-    # Days every set has already are not read.
-    known = F.coalesce(F.col("last"), F.lit("0001-01-01").cast("date"))
-    sets = xwalk.select("region_set").distinct().join(F.broadcast(last), "region_set", "left")
-    oldest = axis.scalar(sets, F.min(known))
-    days = canon.between_dates(grid, None, end.isoformat()).where(F.col("time") > oldest)
-    if "year" in grid.columns:
-        days = days.where(F.col("year") >= F.year(oldest))
-    return days.join(due, ["lat", "lon"]).where(
-        F.col("last").isNull() | (F.col("time") > F.col("last"))
+    days = canon.between_dates(grid, None, end.isoformat())
+    sets = xwalk.select("region_set").distinct().agg(F.collect_set("region_set").alias("s"))  # a handful
+    wanted = axis.time_axis(days).select("time", F.explode(axis.scalar(sets, F.first("s"))).alias("region_set"))
+    lacking = (
+        wanted.join(stored.select("region_set", "time").distinct(), ["region_set", "time"], "left_anti")
+        .groupBy("time")
+        .agg(F.collect_set("region_set").alias("due"))
     )
+    if "year" in grid.columns:  # years without a due day are not read
+        days = days.where(F.col("year") >= F.year(axis.scalar(lacking, F.min("time"))))
+    return days.join(lacking, "time").join(xwalk, ["lat", "lon"]).where(F.array_contains("due", F.col("region_set")))
 
 
 def update_regions(
@@ -85,13 +94,10 @@ def update_regions(
     """Bring every region set of a regional store up to ``end``."""
     stored = spark.read.parquet(path)
     due = region_increment(grid, xwalk, stored, end)
-    if due.isEmpty():
-        return False
     new = due.groupBy(*REGIONAL_KEY).agg(
         *[numeric.weighted_mean(F.col(v), F.col("w")).alias(v) for v in variables]
     )
-    store.update_store(spark, path, new, REGIONAL_KEY)
-    return True
+    return store.update_store(spark, path, new, REGIONAL_KEY)
 
 
 def due_from(periods: DataFrame, checkpoints: DataFrame, refresh: bool = False) -> DataFrame:
@@ -121,29 +127,52 @@ def update_index(
     freqs: tuple[str, ...] = STANDARD_FREQS,
     refresh: bool = False,
 ) -> bool:
-    """Compute the periods after the stored checkpoints and upsert them.
-
-    Percentiles and completeness refer to the whole history. A period counts as
-    complete with four fifths of its days, so the last stored one may have been
-    computed before its last days came; ``refresh`` computes it again, and then the
-    result equals a full run wherever the last update stopped. When every frequency
-    is up to date nothing happens.
+    """Compute the periods that the store lacks and upsert them. False when there are none.
+
+    Every region set and index has its own periods, so a new index, a set that lags behind
+    and a year that a broken commit left out are all caught up; a store that has none of an
+    index gets its whole history. Percentiles, completeness and whether a cell has values
+    refer to the whole grid. A period counts as complete with four fifths of its days, so
+    the last stored one may have been computed before its last days came; ``refresh``
+    computes it again, and then the result equals a full run wherever the last update stopped.
     """
-    stored = spark.read.parquet(path)
-    points = (
-        stored.groupBy(calendar.freq_of_filter(F.col("time_filter")).alias("freq"))
-        .agg(F.max("period").alias("last_period"))
-    )
-    due = due_from(completeness.complete_periods(grid, freqs), points, refresh)
-    starts = {r["freq"]: r["due"] for r in due.collect()}  # at most one row per frequency
+    due = materialise(due_periods(spark.read.parquet(path), grid, xwalk, names, freqs, refresh))
+    starts = {r["freq"]: r["t"] for r in due.groupBy("freq").agg(F.min("period").alias("t")).collect()}
     if not starts:
         return False
+    late = {r["index"] for r in due.select("index").distinct().collect()}
     recent = canon.between_dates(grid, min(starts.values()).isoformat(), None)
     new = derived_index.regional_indices(
-        recent, xwalk, names, tuple(starts), history=grid, axis_of=grid, due=starts
+        recent, xwalk, tuple(n for n in names if n in late), tuple(starts), history=grid, axis_of=grid, due=starts
     )
-    store.update_store(spark, path, new, INDEX_KEY)
-    return True
+    freq = calendar.freq_of_filter(F.col("time_filter"))
+    wanted = new.withColumn("freq", freq).join(due, ["region_set", "index", "freq", "period"], "left_semi").drop("freq")
+    return store.update_store(spark, path, wanted, INDEX_KEY)
+
+
+def due_periods(
+    stored: DataFrame,
+    grid: DataFrame,
+    xwalk: DataFrame,
+    names: tuple[str, ...],
+    freqs: tuple[str, ...] = STANDARD_FREQS,
+    refresh: bool = False,
+) -> DataFrame:
+    """``region_set, index, freq, period``: complete periods that an index store lacks.
+
+    As many rows at most as region sets times indices times periods of the calendar.
+    """
+    periods = completeness.complete_periods(grid, freqs).select("freq", F.col("time").alias("period"))
+    sets = axis.scalar(xwalk.select("region_set").distinct(), F.collect_set("region_set"))  # a handful
+    wanted = periods.withColumn("region_set", F.explode(sets)).withColumn(
+        "index", F.explode(F.array(*[F.lit(n) for n in names]))
+    )
+    key = ["region_set", "index", "freq", "period"]
+    held = stored.select("region_set", "index", calendar.freq_of_filter(F.col("time_filter")).alias("freq"), "period").distinct()
+    if refresh:
+        last = held.groupBy("region_set", "index", "freq").agg(F.max("period").alias("period"))
+        held = held.join(last, key, "left_anti")
+    return wanted.join(held, key, "left_anti").select(*key)
 
 
 def updatable(outputs: DataFrame, meta: DataFrame, freqs: tuple[str, ...]) -> DataFrame:
@@ -184,7 +213,3 @@ def merge_attributes(old: DataFrame, new: DataFrame) -> DataFrame:
     return pairs.select(
         "dataset", metadata.merge_on_update(o, incoming, prefixes=["last_checkpoint_", "dc"]).alias("attrs")
     )
-
-
-def region_means(grid: DataFrame, xwalk: DataFrame, variables: list[str]) -> DataFrame:
-    return regions.aggregate_regions(grid, xwalk, variables)

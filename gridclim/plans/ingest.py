@@ -38,7 +38,7 @@ def ingest(
     """
     grid_path, regional_path = f"{root}/grid", f"{root}/regional"
     mode = "overwrite" if overwrite else "skip"
-    days = canon.between_dates(grid.select("time", "lat", "lon", *variables), None, end.isoformat())
+    days = store.clean(canon.between_dates(grid.select("time", "lat", "lon", *variables), None, end.isoformat()), variables)
     written = store.write_store(store.with_year(days), grid_path, mode, ["year"])
     if not written:
         written = incremental.update_grid(spark, grid_path, days, end)

@@ -522,18 +522,69 @@ def _rounded_steps(df):
     )
 
 
-@query("a28_random_steps")
+@query(
+    "a28_random_steps",
+    q.with_(q.GRID)
+    + """, ax AS (SELECT time, row_number() OVER (ORDER BY time) - 1 AS position FROM (SELECT DISTINCT time FROM grid)),
+    box AS (SELECT count(DISTINCT lat) * count(DISTINCT lon) AS total FROM grid),
+    s AS (SELECT time, position FROM ax ORDER BY md5('7:' || CAST(time AS VARCHAR)), time LIMIT 5)
+    SELECT CAST(time AS VARCHAR) AS time, position, total, count(tas) AS valid, total - count(tas) AS missing,
+      round(count(tas) / total * 100, 6) AS pct_valid, round(min(tas), 6) AS min, round(max(tas), 6) AS max,
+      round(avg(tas), 6) AS mean, round(stddev_pop(tas), 6) AS std
+    FROM grid JOIN s USING (time), box GROUP BY 1, 2, 3""",
+)
 def a28_random(spark, sf):
     grid = tables.grid_daily(spark, sf)
     return _rounded_steps(quality.step_summary(grid, "tas", quality.random_steps(grid, 5, seed=7)))
 
 
+def _short(start, needed, test):
+    return (
+        q.with_(q.GRID)
+        + f""", n AS (SELECT {start} AS p, count(DISTINCT time) AS n FROM grid GROUP BY 1)
+        SELECT lat, lon, CAST({start} AS VARCHAR) AS time, CAST(count(*) FILTER (WHERE {test}) AS DOUBLE) AS value
+        FROM grid JOIN n ON p = {start} WHERE n.n >= {needed} GROUP BY 1, 2, 3"""
+    )
+
+
+def _short_index(spark, sf, name, freq):
+    grid = tables.grid_daily(spark, sf)
+    out = indices.compute_index(grid, indices.get_index(name).index, freq)
+    out = completeness.keep_complete(out, completeness.complete_periods(grid, (freq,)), freq)
+    return out.select(*CELL, text("time").alias("time"), "value")
+
+
+@query("a9_tx30_weekly", _short("CAST(date_trunc('week', time) AS DATE)", 5.6, "tasmax > 30"))
+def a9_weekly(spark, sf):
+    return _short_index(spark, sf, "tx30", "W-MON")
+
+
+@query("a9_fd_daily", _short("time", 0.8, "tasmin < 0"))
+def a9_daily(spark, sf):
+    return _short_index(spark, sf, "fd", "D")
+
+
+@query(
+    "a12_monthly_input",
+    q.with_(q.GRID)
+    + """, m AS (SELECT DISTINCT CAST(date_trunc('month', time) AS DATE) AS time FROM grid),
+    p AS (SELECT 'YS' AS freq, CAST(date_trunc('year', time) AS DATE) AS s, count(*) AS n FROM m GROUP BY 2 HAVING count(*) >= 9.6
+      UNION ALL SELECT 'QS-DEC', CAST(date_trunc('quarter', time + INTERVAL 1 MONTH) - INTERVAL 1 MONTH AS DATE), count(*) FROM m GROUP BY 2 HAVING count(*) >= 2.4
+      UNION ALL SELECT 'MS', time, 1 FROM m)
+    SELECT freq, CAST(s AS VARCHAR) AS time FROM p""",
+)
+def a12_monthly(spark, sf):
+    grid = tables.grid_daily(spark, sf)
+    months = resample.resample(grid, MONTHLY, {"pr": F.sum("pr")}, CELL)
+    found = completeness.complete_periods(months, STANDARD_FREQS, sample=completeness.require_frequency(months))
+    return found.select("freq", text("time").alias("time"))
+
+
 @query(
     "a29_suspicious_values",
     q.with_(q.GRID)
-    + """, s AS (SELECT DISTINCT time FROM grid ORDER BY time LIMIT 10)
-    SELECT CAST(bool_or(isinf(tasmin)) AS BIGINT) AS has_inf, CAST(bool_or(tasmin = 0) AS BIGINT) AS has_zero,
-      CAST(bool_or(tasmin < 0) AS BIGINT) AS has_negative FROM grid JOIN s USING (time)""",
+    + """SELECT CAST(bool_or(isinf(tasmin)) AS BIGINT) AS has_inf, CAST(bool_or(tasmin = 0) AS BIGINT) AS has_zero,
+      CAST(bool_or(tasmin < 0) AS BIGINT) AS has_negative FROM grid""",
 )
 def a29(spark, sf):
     out = quality.suspicious_values(tables.grid_daily(spark, sf), "tasmin")

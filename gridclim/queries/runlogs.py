@@ -29,7 +29,7 @@ def _entries(spark, sf):
 
 def _kept(spark, sf):
     """Parsed lines of the latest runs, kept as a table since several steps read them."""
-    return materialise(runlog.latest_runs(materialise(_entries(spark, sf)), 1000))
+    return materialise(runlog.latest_runs(materialise(_entries(spark, sf))))
 
 
 @query("l1_parse_lines", q.with_(_LINES) + "SELECT line_no, stamp AS timestamp, request_id, task, action, action_id FROM lines")
@@ -52,7 +52,7 @@ def l1_reject(spark, sf):
 @query("l2_latest_runs", q.with_(_LINES) + "SELECT request_id, line_no, action FROM latest")
 def l2(spark, sf):
     lines = materialise(_entries(spark, sf))
-    return runlog.latest_runs(lines, 1000).select("request_id", "line_no", "action")
+    return runlog.latest_runs(lines).select("request_id", "line_no", "action")
 
 
 @query(
@@ -78,7 +78,7 @@ def l3(spark, sf):
 )
 def l4(spark, sf):
     entries = _kept(spark, sf)
-    spans = runlog.require_well_formed(runlog.action_spans(entries, 1000))
+    spans = runlog.require_well_formed(runlog.action_spans(entries))
     return spans.select("action_id", "first_line", "last_line", "n_lines", flag("closed").alias("closed"))
 
 

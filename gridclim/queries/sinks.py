@@ -28,6 +28,21 @@ def k1(spark, sf):
     return stored.groupBy(big("year").alias("year")).agg(F.count("*").alias("n"), r6(F.sum("pr")).alias("pr"))
 
 
+@query(
+    "k1_half_written_store",
+    q.with_(q.GRID) + "SELECT year(time) AS year, count(*) AS n, round(sum(pr), 6) AS pr FROM grid GROUP BY 1",
+)
+def k1_half(spark, sf):
+    path = scratch_dir(spark)
+    grid = store.with_year(tables.grid_daily(spark, sf).select("time", *CELL, "pr"))
+    # Files without a commit, as a failed job leaves them, are no store.
+    marks = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    grid.where(F.col("year") <= 1998).write.option(marks, "false").parquet(path)
+    store.write_store(grid, path, "skip", ["year"])
+    stored = store.read_store(spark, path)
+    return stored.groupBy(big("year").alias("year")).agg(F.count("*").alias("n"), r6(F.sum("pr")).alias("pr"))
+
+
 @query(
     "k2_upsert",
     q.with_(q.GRID)

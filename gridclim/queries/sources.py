@@ -169,6 +169,23 @@ def s7(spark, sf):
     return out.withColumn("present", flag("present"))
 
 
+@query(
+    "s1_nan_is_missing",
+    q.with_(q.GRID)
+    + """SELECT lat, lon, count(*) AS n, count(CASE WHEN tasmax <= 25 THEN 1 END) AS present,
+      count(CASE WHEN tasmax <= 25 AND tasmax > 20 THEN 1 END) AS warm FROM grid GROUP BY 1, 2""",
+)
+def s1_nan(spark, sf):
+    path = scratch_dir(spark)
+    grid = tables.grid_daily(spark, sf).select("time", *CELL, "tasmax")
+    nan = F.when(F.col("tasmax") <= 25, F.col("tasmax")).otherwise(F.lit(float("nan")))
+    grid.withColumn("tasmax", nan).write.parquet(path)
+    stored = store.read_store(spark, path, "tasmax")
+    return stored.groupBy(*CELL).agg(
+        F.count("*").alias("n"), F.count("tasmax").alias("present"), F.count_if(F.col("tasmax") > 20).alias("warm")
+    )
+
+
 @query(
     "s7_store_kind",
     """WITH f AS (SELECT 'st' || l_suppkey AS store, CASE WHEN l_partkey % 401 = 0 THEN '.zmetadata'

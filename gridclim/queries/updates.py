@@ -19,22 +19,23 @@ from .aggregations import _COMBINED, DAILY_SQL
 from .common import big, r6, text, xwalk
 from .sinks import _META, _map, _meta
 
-END = dt.date(2001, 6, 30)
+def _end(grid):
+    return grid.agg(F.max("time")).first()[0]
 
 
 @query(
     "i1_update_grid",
     q.with_(q.GRID)
     + """SELECT lat, lon, count(*) AS n, round(sum(pr), 6) AS pr, CAST(max(time) AS VARCHAR) AS last FROM grid
-    WHERE time <= DATE '2001-06-30' GROUP BY 1, 2""",
+    GROUP BY 1, 2""",
 )
 def i1(spark, sf):
     path = scratch_dir(spark)
     grid = tables.grid_daily(spark, sf).select("time", *CELL, "pr")
     store.write_store(store.with_year(grid.where(F.col("time") <= "1999-04-10")), path, partition_by=["year"])
     incremental.update_grid(spark, path, grid, dt.date(2000, 2, 29))
-    incremental.update_grid(spark, path, grid, END)
-    incremental.update_grid(spark, path, grid, END)  # up to date, nothing happens
+    incremental.update_grid(spark, path, grid, _end(grid))
+    incremental.update_grid(spark, path, grid, _end(grid))  # up to date, nothing happens
     return spark.read.parquet(path).groupBy(*CELL).agg(
         F.count("*").alias("n"), r6(F.sum("pr")).alias("pr"), text(F.max("time")).alias("last")
     )
@@ -43,7 +44,7 @@ def i1(spark, sf):
 _REGIONAL = (
     q.with_(q.GRID, q.XWALK)
     + """, d AS (SELECT region_set, region, time, sum(pr * w) / sum(w) AS pr FROM grid JOIN xwalk USING (lat, lon)
-      WHERE time <= DATE '2001-06-30' GROUP BY 1, 2, 3)
+      GROUP BY 1, 2, 3)
     SELECT region_set, region, count(*) AS n, round(sum(pr), 5) AS pr, CAST(max(time) AS VARCHAR) AS last FROM d GROUP BY 1, 2"""
 )
 
@@ -63,8 +64,8 @@ def i2(spark, sf):
     means = regions.aggregate_regions(grid, table, ["pr"])
     old = means.where(F.col("time") <= F.to_date(F.try_element_at(stops, F.col("region_set"))))
     store.write_store(store.with_year(old), path, partition_by=["year"])
-    incremental.update_regions(spark, path, grid, table, ["pr"], END)
-    incremental.update_regions(spark, path, grid, table, ["pr"], END)
+    incremental.update_regions(spark, path, grid, table, ["pr"], _end(grid))
+    incremental.update_regions(spark, path, grid, table, ["pr"], _end(grid))
     return _regional_totals(spark.read.parquet(path))
 
 
@@ -73,7 +74,7 @@ def i2_ingest(spark, sf):
     root = scratch_dir(spark)
     grid, outlines = tables.grid_daily(spark, sf), tables.regions(spark, sf)
     ingest.ingest(spark, grid, outlines, root, ["pr"], dt.date(2000, 1, 31))
-    ingest.ingest(spark, grid, outlines, root, ["pr"], END)
+    ingest.ingest(spark, grid, outlines, root, ["pr"], _end(grid))
     return _regional_totals(spark.read.parquet(f"{root}/regional"))
 
 
@@ -112,6 +113,65 @@ def i3_refresh(spark, sf):
     return _updated_index(spark, sf, "2000-08-20", True)
 
 
+def _caught_up(spark, sf, kept, names=_NAMES, grid=None):
+    """A store that holds only the rows ``kept`` selects, then brought up to date."""
+    path, table = scratch_dir(spark), xwalk(spark, sf)
+    grid = tables.grid_daily(spark, sf) if grid is None else grid
+    full = derived_index.regional_indices(grid, table, names)
+    store.write_store(store.with_year(full.where(kept)), path, partition_by=["year"])
+    incremental.update_index(spark, path, grid, table, _NAMES)
+    return spark.read.parquet(path).select(
+        "region_set", "region", "index", text("time").alias("time"), "time_filter", r6("value").alias("value")
+    )
+
+
+@query("i3_new_index_added", _THREE)
+def i3_new_index(spark, sf):
+    return _caught_up(spark, sf, F.lit(True), ("tx35", "fd"))
+
+
+@query("i3_lagging_region_set", _THREE)
+def i3_lagging(spark, sf):
+    return _caught_up(spark, sf, (F.col("region_set") != "NUTS-2") | (F.col("period") <= "1999-06-30"))
+
+
+@query("i3_interrupted_commit", _THREE)
+def i3_interrupted(spark, sf):
+    # The newest years were swapped in, the one before them was not.
+    return _caught_up(spark, sf, F.year("time") != 2000)
+
+
+_SILENT = "lat = 30 AND time > DATE '2000-06-30'"
+_SILENT_GRID = q.GRID.replace("grid AS (", "everything AS (", 1) + f""", grid AS (
+  SELECT time, lat, lon, tas, CASE WHEN NOT ({_SILENT}) THEN tasmin END AS tasmin,
+    CASE WHEN NOT ({_SILENT}) THEN tasmax END AS tasmax, CASE WHEN NOT ({_SILENT}) THEN pr END AS pr FROM everything)"""
+
+
+@query("i3_cell_without_recent_values", _THREE.replace(q.GRID, _SILENT_GRID))
+def i3_silent(spark, sf):
+    gone = F.expr(_SILENT)
+    grid = tables.grid_daily(spark, sf).withColumns(
+        {v: F.when(~gone, F.col(v)) for v in ("tasmin", "tasmax", "pr")}
+    )
+    return _caught_up(spark, sf, F.col("period") <= "2000-08-31", grid=grid)
+
+
+@query(
+    "i1_interrupted_commit",
+    q.with_(q.GRID)
+    + """SELECT lat, lon, count(*) AS n, round(sum(pr), 6) AS pr, CAST(max(time) AS VARCHAR) AS last FROM grid
+    GROUP BY 1, 2""",
+)
+def i1_interrupted(spark, sf):
+    path = scratch_dir(spark)
+    grid = tables.grid_daily(spark, sf).select("time", *CELL, "pr")
+    store.write_store(store.with_year(grid.where(F.year("time") != 2000)), path, partition_by=["year"])
+    incremental.update_grid(spark, path, grid, _end(grid))
+    return spark.read.parquet(path).groupBy(*CELL).agg(
+        F.count("*").alias("n"), r6(F.sum("pr")).alias("pr"), text(F.max("time")).alias("last")
+    )
+
+
 @query(
     "i4_update_attributes",
     q.with_(_META)

@@ -70,9 +70,9 @@ def missing_names(required: DataFrame, listing: DataFrame) -> DataFrame:
 
 def require_stores(required: DataFrame, listing: DataFrame) -> DataFrame:
     """The required stores; any that is missing is an error."""
-    absent = [r["name"] for r in missing_names(required, listing).orderBy("name").take(20)]
+    absent = [r["name"] for r in missing_names(required, listing).orderBy("name").collect()]  # one per required store
     if absent:
-        raise FileNotFoundError(f"missing stores: {absent}")
+        raise FileNotFoundError(f"{len(absent)} missing stores: {absent}")
     return required
 
 

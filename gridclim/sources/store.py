@@ -17,10 +17,13 @@ GRID_KEY = ("time", *CELL)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path holds a written dataset."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hadoop)
+    """Whether a path holds a dataset whose write was committed.
+
+    A job that fails leaves files behind but no ``_SUCCESS``.
+    """
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(marker)
 
 
 def read_store(
@@ -33,9 +36,10 @@ def read_store(
     """Open a store with a projection and slices.
 
     ``steps`` selects positions ``[a, b)`` of the time axis; ``box`` selects labels,
-    both ends included. Projection and label slices reach the Parquet scan.
+    both ends included. Projection and label slices reach the Parquet scan. NaN is
+    missing.
     """
-    df = spark.read.parquet(path)
+    df = clean(spark.read.parquet(path))
     if variables is not None:
         names = [variables] if isinstance(variables, str) else list(variables)
         unknown = [n for n in names if n not in df.columns]
@@ -61,8 +65,10 @@ def step_slice(df: DataFrame, whole: DataFrame, first: int, stop: int) -> DataFr
     return df.where(F.col("time").between(low, high))
 
 
-def clean(df: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """NaN to NULL; every source goes through this before any operator."""
+def clean(df: DataFrame, variables: Sequence[str] | None = None) -> DataFrame:
+    """NaN to NULL, in all floating columns but the coordinates unless some are named."""
+    if variables is None:
+        variables = [n for n, t in df.dtypes if t in ("double", "float") and n not in CELL]
     require_columns(df, list(variables))
     return df.withColumns({v: numeric.missing_to_null(F.col(v)) for v in variables})
 
@@ -88,12 +94,15 @@ def write_store(
     partition_by: Sequence[str] = (),
 ) -> bool:
     """Write a dataset. ``skip`` leaves an existing one alone, ``overwrite`` replaces
-    it, ``append`` adds. Returns whether anything was written; failures raise."""
+    it, ``append`` adds. Returns whether anything was written; failures raise.
+
+    What a failed write left at the path does not count as a dataset and is replaced.
+    """
     spark = df.sparkSession
     if mode == "skip":
         if exists(spark, path):
             return False
-        mode = "errorifexists"
+        mode = "overwrite"
     _write(df, path, mode, partition_by)
     return True
 
@@ -124,33 +133,34 @@ def upserted(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
 def align_labels(new: DataFrame, labels: DataFrame, dim: str) -> DataFrame:
     """Rows of stored labels: unknown labels are dropped, absent ones are missing.
 
-    ``labels`` holds time filters, of which there are seventeen, so ``new`` is not
-    shuffled.
+    A short list of labels is broadcast by the planner, so ``new`` is not shuffled.
     """
     known = labels.select(dim).distinct()
-    kept = new.join(F.broadcast(known), dim, "left_semi")
+    kept = new.join(known, dim, "left_semi")
     absent = known.join(new.select(dim).distinct(), dim, "left_anti")
     return kept.unionByName(absent, allowMissingColumns=True)
 
 
 def update_store(
     spark: SparkSession, path: str, new: DataFrame, key: Sequence[str], label_dim: str | None = None
-) -> None:
+) -> bool:
     """Upsert into a store partitioned by ``year``; rows in ``new`` win.
 
     Only the years that ``new`` touches are read and rewritten, and each of those is
     swapped as a whole when the job commits, so a rerun gives the same store.
-    ``label_dim`` drops incoming rows whose label the store does not know.
+    ``label_dim`` drops incoming rows whose label the store does not know. Returns
+    whether there was anything to write.
     """
     if not exists(spark, path):
         raise FileNotFoundError(f"store {path} does not exist")
     old = spark.read.parquet(path)
     if label_dim is not None:
-        known = old.select(label_dim).distinct()  # time filters, seventeen at most
-        new = new.join(F.broadcast(known), label_dim, "left_semi")
+        new = new.join(old.select(label_dim).distinct(), label_dim, "left_semi")
     # Read three times below, so computed once.
     new = materialise(new if "year" in new.columns else with_year(new))
     years = [r["year"] for r in new.select("year").distinct().collect()]  # bounded by the calendar
+    if not years:
+        return False
     affected = old.where(F.col("year").isin(years))
     _write(
         upserted(affected, new, key).select(*old.columns),
@@ -159,6 +169,7 @@ def update_store(
         ["year"],
         partitionOverwriteMode="dynamic",
     )
+    return True
 
 
 def compact_types(df: DataFrame, keep: Sequence[str] = (*CELL,)) -> DataFrame:
@@ -191,11 +202,16 @@ REGION_TILE_LIMIT, REGION_TILE = 400, 50
 GRID_TILE = {"time": 1000, "lat": 100, "lon": 100}
 
 
-def layout(dims: Sequence[str], n_regions: int = 0) -> dict[str, int]:
-    """Tile size per dimension; -1 is the whole dimension."""
+def layout(dims: Sequence[str], n_regions: int = 0, region_tile: int | None = None) -> dict[str, int]:
+    """Tile size per dimension; -1 is the whole dimension.
+
+    ``region_tile`` is the size a dataset was first written with, to be kept in its
+    attributes; the number of regions decides only when there is none yet.
+    """
     sizes: dict[str, int] = {}
     if "region" in dims:
-        sizes["region"] = 1 if n_regions <= REGION_TILE_LIMIT else REGION_TILE
+        first = 1 if n_regions <= REGION_TILE_LIMIT else REGION_TILE
+        sizes["region"] = first if region_tile is None else region_tile
     for dim in ("combined", "time"):
         if dim in dims:
             sizes[dim] = -1
@@ -218,11 +234,16 @@ def with_tiles(df: DataFrame) -> DataFrame:
     )
 
 
-def with_region_tiles(df: DataFrame) -> DataFrame:
-    """``tile_region``: block of a region in its set, by rank of its id."""
+def with_region_tiles(df: DataFrame, region_tile: int | None = None) -> DataFrame:
+    """``tile_region``: block of a region in its set, by rank of its id.
+
+    ``region_tile`` as for :func:`layout`: with it, old rows keep their block when
+    the number of regions grows.
+    """
     regions = ordered.rank_within(
         df.select("region_set", "region").distinct(), "region_set", "region", "rank"
     )
     size = F.when(F.col("rank_of") <= REGION_TILE_LIMIT, 1).otherwise(REGION_TILE)
+    size = size if region_tile is None else F.lit(region_tile)
     tiles = regions.select("region_set", "region", F.floor(F.col("rank") / size).alias("tile_region"))
     return df.join(tiles, ["region_set", "region"])

@@ -46,11 +46,13 @@ def upsert_available(
     """Upsert each micro-batch of grid rows into a store.
 
     A batch replayed after a failure rewrites the same keys, so the store ends the same.
+    Of several rows with one key the largest in the order of the other columns stays.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        latest = batch.dropDuplicates(list(key))
+        others = F.struct(*[c for c in batch.columns if c not in key])
+        latest = store.clean(batch).groupBy(*key).agg(F.max(others).alias("_row")).select(*key, "_row.*")
         if store.exists(spark, path):
             store.update_store(spark, path, latest, key)
         else:
