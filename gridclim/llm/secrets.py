@@ -164,7 +164,7 @@ def samples(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     )
 
 
-def scan(docs: DataFrame, models: Models, *, text_col: str = "text", threshold: float = 1.0) -> DataFrame:
+def scan(docs: DataFrame, models: Models, *, text_col: str = "text", threshold: float = 0.25) -> DataFrame:
     """All columns of ``docs`` plus ``assign``, ``access``, ``hex``, ``markov`` and ``secrets``.
 
     ``markov`` holds tokens of 16 or more characters with letters and digits whose mean

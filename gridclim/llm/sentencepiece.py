@@ -15,8 +15,11 @@ column vector. Words between certain cuts repeat, and their paths are remembered
 Characters without a piece become byte pieces. Among equal scores a longer last piece wins;
 across a chunk boundary another of several equal paths may be found.
 
-The vocabulary is read from a model file and never trained. Its scores are taken as they
-are, also from a file made for pair merging, whose own merge order gives other pieces.
+The vocabulary is read from a model file and never trained. Scores that are log
+probabilities are taken as they are. The scores of a file made for pair merging are merge
+ranks, whose sums mean nothing; there the pieces get the log probabilities of Zipf's law for
+their rank. Merging in rank order, as such a file's own encoder does, gives other pieces for
+some words.
 
 Defined cases: NULL and empty texts have no pieces. Decoding undoes encoding exactly, with
 leading, repeated and trailing blanks, control characters and the mark character itself. Ids
@@ -58,6 +61,7 @@ class Vocabulary:
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
+        """Whole numbers as scores are taken for ranks."""
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces, byte_ids = {}, {}
         for i in range(model.get_piece_size()):
@@ -66,6 +70,10 @@ class Vocabulary:
                 byte_ids[int(piece[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 pieces[piece.replace(MARK, " ")] = (model.get_score(i), i)
+        if all(score == int(score) for score, _ in pieces.values()):
+            total = sum(1 / k for k in range(1, len(pieces) + 1))
+            by_id = sorted(pieces.items(), key=lambda p: p[1][1])
+            pieces = {p: (-float(np.log(k * total)), i) for k, (p, (_, i)) in enumerate(by_id, 1)}
         if any(" " in p.lstrip(" ") for p in pieces):
             raise ValueError("a piece has a blank behind another character")
         if len(byte_ids) != 256:
