@@ -8,9 +8,10 @@ associatively. Giant documents are split into chunks of fixed size; each gives i
 a scan over a document's matrices finds the best state at every boundary, and each chunk then
 traces its own best path between the states at its two ends, independently of the others.
 
-No piece has a blank behind another character, so a cut in front of a run of blanks is
-certain, and a matrix of a stretch with such a cut is a sum of a row vector, a middle and a
-column vector. Words between certain cuts repeat, and their paths are remembered.
+Where no piece holds two neighbouring characters together, a cut between them is certain, as
+in front of every run of blanks. A matrix of a stretch with a certain cut is a sum of a row
+vector, a middle and a column vector. Segments between certain cuts repeat, and their paths
+are remembered.
 
 Characters without a piece become byte pieces. Among equal scores a longer last piece wins;
 across a chunk boundary another of several equal paths may be found.
@@ -31,10 +32,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +47,8 @@ from ..session import materialise
 from .common import keyed
 
 MARK = "▁"  # stands for a blank in pieces
-WORD = re.compile(r" *[^ ]+| +")
 UNKNOWN_PENALTY = 10.0
+FEW = 591  # code points below are told apart when certain cuts are looked for
 NONE = -np.inf
 
 
@@ -57,7 +60,15 @@ class Vocabulary:
     size: int
     longest: int
     memory: dict[str, tuple[float, list[int]]] = field(default_factory=dict)
-    remember: int = 200_000
+    remember: int = 300_000
+    joined: np.ndarray = field(init=False)  # which characters stand next to each other in a piece
+
+    def __post_init__(self) -> None:
+        self.joined = np.zeros((FEW + 1, FEW + 1), dtype=bool)
+        for piece in self.pieces:
+            for a, b in zip(piece, piece[1:]):
+                self.joined[min(ord(a), FEW), min(ord(b), FEW)] = True
+        self.joined[FEW, :] = self.joined[:, FEW] = True  # not told apart, so never a certain cut
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -125,19 +136,52 @@ class Vocabulary:
         return best[end], [x for a, b in zip(cuts, cuts[1:]) for x in self.ids_of(s[a:b])]
 
     def word(self, w: str) -> tuple[float, list[int]]:
+        """Score and ids of a whole word; the first ``remember`` words met are kept."""
         found = self.memory.get(w)
         if found is None:
-            found = self.path(w, 0, len(w))
-            if len(w) <= 64:
-                if len(self.memory) >= self.remember:
-                    self.memory.clear()
+            found = self._word(w)
+            if len(w) <= 64 and len(self.memory) < self.remember:
                 self.memory[w] = found
         return found
 
+    def _word(self, s: str) -> tuple[float, list[int]]:
+        """What :meth:`path` gives for the whole of ``s``, in one tight loop."""
+        get, longest, n = self.pieces.get, self.longest, len(s)
+        best, back, ids = [NONE] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        best[0] = 0.0
+        for i in range(n):
+            base = best[i]
+            j = i + 1
+            found = get(s[i:j])
+            score, piece = found if found is not None else (self.unknown, -1)
+            if base + score > best[j]:
+                best[j], back[j], ids[j] = base + score, i, piece
+            for j in range(i + 2, min(n, i + longest) + 1):
+                found = get(s[i:j])
+                if found is not None and base + found[0] > best[j]:
+                    best[j], back[j], ids[j] = base + found[0], i, found[1]
+        out, at = [], n
+        while at:
+            if ids[at] >= 0:
+                out.append(ids[at])
+            else:
+                out.extend(reversed(self.ids_of(s[back[at] : at])))
+            at = back[at]
+        out.reverse()
+        return best[n], out
+
+    def segments(self, s: str) -> list[str]:
+        """The text cut wherever no piece can hold the characters on both sides."""
+        points = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        kinds = np.minimum(points, FEW)
+        at = (np.flatnonzero(~self.joined[kinds[:-1], kinds[1:]]) + 1).tolist()
+        return [s[a:b] for a, b in zip([0, *at], [*at, len(s)])]
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
-        return [x for w in WORD.findall(" " + text) for x in self.word(w)[1]]
+        known, word = self.memory.get, self.word
+        return [x for w in self.segments(" " + text) for x in (known(w) or word(w))[1]]
 
     def decode(self, ids: list[int], names: list[str | int]) -> str:
         """``names`` as from :meth:`names`: a text per id, or the value of a byte piece."""
@@ -180,7 +224,7 @@ class Vocabulary:
         cuts = self.cuts(s, n, before)
         first, last = (cuts[0], cuts[-1]) if cuts else (None, None)
         if first is not None:
-            middle = sum(self.word(w)[0] for w in WORD.findall(s[first:last])) if last > first else 0.0
+            middle = sum(self.word(w)[0] for w in self.segments(s[first:last])) if last > first else 0.0
             into = np.array([self.path(s, a, first)[0] if a <= first else NONE for a in range(size)])
             onward = self.ends(s, last, n)
             return into[:, None] + middle + onward[None, :]
@@ -208,7 +252,7 @@ class Vocabulary:
         if not cuts:
             return self.path(s, entry, n + leave, n)[1]
         ids = list(self.path(s, entry, cuts[0])[1])
-        for w in WORD.findall(s[cuts[0] : cuts[-1]]):
+        for w in self.segments(s[cuts[0] : cuts[-1]]) if cuts[-1] > cuts[0] else ():
             ids.extend(self.word(w)[1])
         return ids + self.path(s, cuts[-1], n + leave, n)[1]
 
@@ -232,7 +276,7 @@ def scan(matrices: list[np.ndarray]) -> list[int]:
 def _lists(values: list[list[int]]) -> pa.Array:
     offsets = np.zeros(len(values) + 1, dtype=np.int32)
     np.cumsum([len(v) for v in values], out=offsets[1:])
-    flat = np.fromiter((x for v in values for x in v), dtype=np.int32, count=int(offsets[-1]))
+    flat = np.fromiter(chain.from_iterable(values), dtype=np.int32, count=int(offsets[-1]))
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
@@ -333,8 +377,22 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         names = v.names()
+        plain = np.array([n if isinstance(n, str) else "" for n in names] + [""], dtype=object)
+        special = np.array([not isinstance(n, str) for n in names] + [False])
         for batch in batches:
-            texts = [v.decode(x.as_py() or [], names) for x in batch.column(at)]
+            lists = batch.column(at)
+            lists = lists.fill_null([]) if lists.null_count else lists
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+            ids = np.where((ids < 0) | (ids >= len(names)), len(names), ids)
+            words, bytes_before = plain[ids], np.append(0, np.cumsum(special[ids]))
+            texts = []
+            for a, b in zip(ends, ends[1:]):
+                if bytes_before[a] == bytes_before[b]:
+                    text = "".join(words[a:b])
+                    texts.append(text[1:] if text.startswith(" ") else text)
+                else:
+                    texts.append(v.decode(ids[a:b].tolist(), names))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, text_col])
 
     out = encoded.select(*kept)
