@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import string
+from collections.abc import Callable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +41,12 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     text = whole(text_col)
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+
+
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast an object of this package; the result gives it back, once per task.
+
+    Packed with its class, so workers need no copy of the package.
+    """
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(packed.value)

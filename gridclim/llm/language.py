@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import share
+
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 # Odd multipliers of the rolling hash, one per place in an n-gram.
@@ -121,11 +123,12 @@ def train(
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) for each row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared()
         for batch in batches:
-            found = [shared.value.predict(t.as_py()) for t in batch.column(1)]
+            found = [m.predict(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

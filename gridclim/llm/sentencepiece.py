@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
-from .common import keyed
+from .common import keyed, share
 
 MARK = "▁"  # stands for a blank in pieces
 UNKNOWN_PENALTY = 10.0
@@ -286,12 +286,13 @@ def encode(
     """(id, th, ids) for each row; th is the hash of the text that :func:`keyed` gives."""
     if chunk < 2 * vocabulary.longest:
         raise ValueError("a chunk must be longer than any piece")
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = share(docs.sparkSession, vocabulary)
+    reach = vocabulary.longest - 1  # characters behind a chunk that its pieces may need
     base = keyed(docs, id_col, text_col)
     kind = base.schema["id"].dataType.simpleString()
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = shared()
         for batch in batches:
             ids = [v.encode(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(ids)], names=["id", "th", "ids"])
@@ -308,7 +309,7 @@ def encode(
                     [
                         batch.column(0).take(at), batch.column(1).take(at), pa.array(range(len(starts)), pa.int64()),
                         pa.array([s[a - 1 : a] if a else "" for a in starts], pa.string()),
-                        pa.array([s[a : a + chunk + vocabulary.longest - 1] for a in starts], pa.string()),
+                        pa.array([s[a : a + chunk + reach] for a in starts], pa.string()),
                         pa.array([min(chunk, len(s) - a) for a in starts], pa.int64()),
                     ],
                     names=["id", "th", "k", "before", "s", "n"],
@@ -321,7 +322,7 @@ def encode(
     chunks = materialise(giants.select("id", "th", "text").mapInArrow(cut, pieces).repartition("th", "k"))
 
     def matrix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = shared()
         for batch in batches:
             found = [v.transfer(s.as_py(), n.as_py(), b.as_py()).ravel() for b, s, n in zip(*batch.columns[3:])]
             yield pa.RecordBatch.from_arrays(
@@ -343,7 +344,7 @@ def encode(
     )
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = shared()
         for batch in batches:
             ids = [
                 v.trace(s.as_py(), n.as_py(), b.as_py(), e.as_py(), x.as_py()) for b, s, n, e, x in zip(*batch.columns[3:])
@@ -370,12 +371,12 @@ def encode(
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """All columns of ``encoded`` and the text of the ids; NULL ids decode to an empty text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = share(encoded.sparkSession, vocabulary)
     kept = [c for c in encoded.columns if c != text_col]
     at = kept.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = shared()
         names = v.names()
         plain = np.array([n if isinstance(n, str) else "" for n in names] + [""], dtype=object)
         special = np.array([not isinstance(n, str) for n in names] + [False])

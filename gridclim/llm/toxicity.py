@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole
+from .common import share, whole
 
 FEATURES = 6
 
@@ -201,10 +201,10 @@ def train(
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score) for each row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = shared()
         tools = m.compressors()
         for batch in batches:
             found = [m.score(tools.gains(t.as_py(), m.size)) for t in batch.column(1)]
@@ -236,11 +236,11 @@ def ordinary_only(
     docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5
 ) -> DataFrame:
     """The documents that score below ``threshold``, with all columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = shared()
         tools = m.compressors()
         for batch in batches:
             keep = [m.score(tools.gains(t.as_py() or "", m.size)) < threshold for t in batch.column(at)]
