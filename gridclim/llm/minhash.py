@@ -18,7 +18,8 @@ members are compared in full; of larger ones a link that lies on no star is left
 matters only if nothing else connects its ends.
 
 Defined cases: NULL, empty and blank texts have no shingles and are linked with nothing.
-Rows with equal identifiers are one document for links; each gets its row. Rows without
+Rows with equal identifiers are one document for links, near to whatever one of their texts
+is near to; each gets its row. Rows without
 identifier are linked with nothing and have a NULL component.
 """
 
@@ -26,11 +27,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -42,12 +42,17 @@ _U = np.uint64
 LEVELS = 3
 
 
-@cache
+_TRIALS: dict[tuple[int, int], np.ndarray] = {}
+
+
 def _trials(bins: int, start: int, count: int = 64) -> np.ndarray:
     """Which bin an empty bin looks at in each of its trials."""
+    if (bins, start) in _TRIALS:
+        return _TRIALS[bins, start]
     t = np.arange(start, start + count, dtype=np.uint64)[:, None]
     i = np.arange(bins, dtype=np.uint64)[None, :]
-    return (mix(i * BASES[0] + t * BASES[1] + _U(1)) % _U(bins)).astype(np.int64)
+    found = _TRIALS[bins, start] = (mix(i * BASES[0] + t * BASES[1] + _U(1)) % _U(bins)).astype(np.int64)
+    return found
 
 
 def sketch(shingles: np.ndarray, bins: int) -> np.ndarray:
@@ -109,16 +114,45 @@ def signatures(
     )
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(id, s): the full sets of documents given as (id, text)."""
+#: Bits of the filter that tells which documents' sets are needed: 16 MB, whatever the corpus.
+FILTER_BITS = 1 << 27
+
+
+def _place(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+
+def _filter(ids: DataFrame) -> np.ndarray:
+    """A bit for each identifier's hash. Other identifiers may have the same bit."""
+    at = _place("id")
+    words = (
+        ids.select((at / 64).cast("long").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {FILTER_BITS}) % 64 as int))").alias("bit"))
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(id, s): the full sets of the wanted documents, of (id, text), and of a few others.
+
+    The filter keeps other texts from being cut and moved; what it lets through is harmless.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(wanted))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            at = batch.column(2).to_numpy()
+            hit = (shared.value[at // 64] >> (at % 64).astype(np.uint64)) & _U(1)
+            batch = batch.filter(pa.array(hit.astype(bool)))
             sets = [shingle_set(t.as_py(), words).astype(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(cut, f"id {kind}, s array<long>")
+    return docs.where("id IS NOT NULL").select("id", "text", _place("id")).mapInArrow(cut, f"id {kind}, s array<long>")
 
 
 def _stars(members: DataFrame) -> DataFrame:
@@ -161,8 +195,8 @@ def links(docs: DataFrame, classes: DataFrame, *, words: int, percent: int) -> D
     deeper = F.when(F.col("m") > 3, F.array(*[f"h{i}" for i in range(LEVELS)])).otherwise(F.array("h0"))
     pairs = materialise(_stars(members.select("id", "score", F.explode(deeper).alias("h"))).distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialise(shingle_sets(docs.join(wanted, "id", "left_semi").dropDuplicates(["id"]), words))
-    return _confirmed(pairs, sets, percent)
+    sets = materialise(shingle_sets(docs, wanted, words))
+    return _confirmed(pairs, sets, percent).distinct()
 
 
 def duplicates(
