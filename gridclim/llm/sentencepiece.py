@@ -60,7 +60,7 @@ class Vocabulary:
     size: int
     longest: int
     memory: dict[str, tuple[float, list[int]]] = field(default_factory=dict)
-    remember: int = 300_000
+    remember: int = 200_000
     joined: np.ndarray = field(init=False)  # which characters stand next to each other in a piece
 
     def __post_init__(self) -> None:
@@ -273,6 +273,13 @@ def scan(matrices: list[np.ndarray]) -> list[int]:
     return states[::-1]
 
 
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, as ids take much more room than their text while they are gathered."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.slice(i, rows)
+
+
 def _lists(values: list[list[int]]) -> pa.Array:
     offsets = np.zeros(len(values) + 1, dtype=np.int32)
     np.cumsum([len(v) for v in values], out=offsets[1:])
@@ -293,7 +300,7 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared()
-        for batch in batches:
+        for batch in _parts(batches):
             ids = [v.encode(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(ids)], names=["id", "th", "ids"])
 
@@ -380,7 +387,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids",
         names = v.names()
         plain = np.array([n if isinstance(n, str) else "" for n in names] + [""], dtype=object)
         special = np.array([not isinstance(n, str) for n in names] + [False])
-        for batch in batches:
+        for batch in _parts(batches):
             lists = batch.column(at)
             lists = lists.fill_null([]) if lists.null_count else lists
             ids = lists.flatten().to_numpy(zero_copy_only=False)
