@@ -9,13 +9,16 @@
    buckets overall, the likely centre of its group, and around the smallest member. Buckets
    of four or more are divided by the next band, and again by the one after, with the
    same stars in each part, so that closer members meet without their bucket's centres.
-4. Candidates are confirmed on the full sets.
-5. Confirmed links are joined into components.
+4. Candidates are confirmed on the full sets and joined into components.
+5. Buckets up to three members were compared in full by that. Members of larger ones are met
+   again by their rarest shingles: two sets of the wanted similarity share one of the first
+   ninth of the smaller set (at 80 percent) and the first fifth of the larger one. Only members
+   of different components are compared, so a large group costs nothing more.
+6. All confirmed links are joined into components.
 
-With 32 bands of 4 bins a pair of similarity 0.8 shares no bucket with probability 5e-8, 5
-in 1000 no bucket's part of 8 bins. No bucket is capped or dropped. Buckets up to three
-members are compared in full; of larger ones a link that lies on no star is left out, which
-matters only if nothing else connects its ends.
+With 32 bands of 4 bins a pair of similarity 0.8 shares no bucket with probability 5e-8. No
+bucket, partner or candidate is capped or dropped: pairs that share a bucket are linked
+whenever their sets say so, or are in one component already.
 
 Defined cases: NULL, empty and blank texts have no shingles and are linked with nothing.
 Rows with equal identifiers are one document for links, near to whatever one of their texts
@@ -183,8 +186,100 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+#: Counters of the shingle order: 8 MB, whatever the corpus.
+COUNTERS = 1 << 20
+
+
+def _counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles fall to each counter. Several shingles may share one."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(COUNTERS, dtype=np.int64)
+        for batch in batches:
+            seen += np.bincount(batch.column(0).flatten().to_numpy() & (COUNTERS - 1), minlength=COUNTERS)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], names=["at", "seen"])
+
+    found = sets.select("s").mapInArrow(add, "at long, seen long").groupBy("at").agg(F.sum("seen").alias("seen")).toArrow()
+    out = np.zeros(COUNTERS, dtype=np.int64)
+    out[found["at"].to_numpy()] = found["seen"].to_numpy()
+    return out
+
+
+def _rarest(sets: DataFrame, percent: int) -> DataFrame:
+    """(g, component, id, n, at): of each set (id, component, s) the shingles that a set as near may
+    share first, with their places, in an order that is the same for all sets and starts with rare ones."""
+    shared = sets.sparkSession.sparkContext.broadcast(_counts(sets))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            firsts, rows, sizes = [], [], []
+            for s in batch.column(2):
+                g = s.values.to_numpy()
+                order = np.lexsort((g, shared.value[g & (COUNTERS - 1)]))
+                firsts.append(g[order[: len(g) + 1 - -(-percent * len(g) // 100)]])
+                rows.append(len(firsts[-1]))
+                sizes.append(len(g))
+            if not rows:
+                continue
+            of = np.repeat(np.arange(len(rows)), rows)
+            at = np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(firsts), pa.int64()), batch.column(1).take(pa.array(of)), batch.column(0).take(pa.array(of)),
+                    pa.array(np.array(sizes)[of], pa.int64()), pa.array(at, pa.int64()),
+                ],
+                names=["g", "component", "id", "n", "at"],
+            )
+
+    kind = sets.schema["id"].dataType.simpleString()
+    return sets.select("id", "component", "s").mapInArrow(cut, f"g long, component {kind}, id {kind}, n long, at long")
+
+
+def _remainder(sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of (id, component, s) that may be as near and are in different components.
+
+    At the first shingle that two sets share, what is left of either bounds what they have in
+    common. Which components meet is settled first, so that members of one are never paired.
+    """
+    firsts = materialise(_rarest(sets, percent))
+    low, high = F.lit(2 * percent), F.lit(100 + percent)
+    firsts = firsts.withColumn("small", high * (F.col("n") - F.col("at")) >= low * F.col("n"))  # may be the smaller set's
+    per = firsts.groupBy("g", "component").agg(
+        F.min(F.when(F.col("small"), F.col("n"))).alias("least"), F.max(F.when(F.col("small"), F.col("n"))).alias("most"),
+        F.min("n").alias("from"), F.max("n").alias("to"), F.max(F.col("n") - F.col("at")).alias("left"),
+    )
+    several = per.groupBy("g").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("g")
+    per = materialise(per.join(several, "g", "left_semi"))
+    a = per.where("least IS NOT NULL").select("g", F.col("component").alias("ca"), "least", "most")
+    b = per.select(F.col("g").alias("gb"), F.col("component").alias("cb"), "from", "to", "left")
+    fits = (F.col("least") <= F.col("to")) & (F.lit(percent) * F.col("from") <= F.lit(100) * F.col("most"))
+    meet = a.join(b, (F.col("g") == F.col("gb")) & (F.col("ca") != F.col("cb")) & fits).select("g", "ca", "cb", "from", "to", "left")
+    side = lambda x: firsts.select(
+        F.col("g").alias(f"g{x}"), F.col("component").alias(f"c{x}{x}"), F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("at").alias(f"at{x}"), F.col("small").alias(f"small{x}")
+    )
+    # What a component's sets are at best tells which of the other's members need not be paired with it.
+    worth = (
+        (F.col("na") <= F.col("to"))
+        & (F.lit(percent) * F.col("from") <= F.lit(100) * F.col("na"))
+        & (high * F.least(F.col("na") - F.col("ata"), "left") >= F.lit(percent) * (F.col("na") + F.greatest("na", "from")))
+    )
+    left = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
+    near = (
+        (F.struct("na", "a") < F.struct("nb", "b"))
+        & (F.lit(percent) * F.col("nb") <= F.lit(100) * F.col("na"))
+        & (high * left >= F.lit(percent) * (F.col("na") + F.col("nb")))
+    )
+    return (
+        meet.join(side("a").where("smalla"), (F.col("g") == F.col("ga")) & (F.col("ca") == F.col("caa")) & worth)
+        .join(side("b"), (F.col("g") == F.col("gb")) & (F.col("cb") == F.col("cbb")) & near)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
+    )
+
+
 def links(docs: DataFrame, classes: DataFrame, *, words: int, percent: int) -> DataFrame:
-    """Confirmed links (a, b) between classes given as (id, bands)."""
+    """(a, b): links that connect classes, given as (id, bands), which hang together by confirmed ones."""
     starts = F.sequence(F.lit(1), F.size("bands"), F.lit(LEVELS))
     buckets = classes.select("id", F.explode(F.transform(starts, lambda i: F.slice("bands", i, F.lit(LEVELS)))).alias("k"))
     buckets = buckets.select("id", *[F.get("k", F.lit(i)).alias(f"h{i}") for i in range(LEVELS)])
@@ -196,7 +291,15 @@ def links(docs: DataFrame, classes: DataFrame, *, words: int, percent: int) -> D
     pairs = materialise(_stars(members.select("id", "score", F.explode(deeper).alias("h"))).distinct())
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = materialise(shingle_sets(docs, wanted, words))
-    return _confirmed(pairs, sets, percent).distinct()
+    near = materialise(_confirmed(pairs, sets, percent).distinct())
+    large = members.where("m > 3").select("id").distinct()
+    groups = components(near).withColumnRenamed("node", "id")
+    rest = sets.where(F.size("s") > 0).join(large, "id", "left_semi").join(groups, "id", "left")
+    rest = materialise(rest.select("id", F.coalesce("component", "id").alias("component"), "s"))
+    more = materialise(_remainder(rest, percent))
+    # the stars of the first components stand for their links
+    stars = groups.where("id <> component").select(F.col("component").alias("a"), F.col("id").alias("b"))
+    return stars.union(_confirmed(more, sets, percent)).distinct()
 
 
 def duplicates(

@@ -64,3 +64,34 @@ def test_a_group_around_a_centre(spark, groups):
             rows.append((1000 * g + 100 + k, " ".join(copy)))
     got = minhash.report(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()
     assert {(r.doc_id // 1000, r.component_id) for r in got} == {(g, 1000 * g + 77) for g in range(groups)}
+
+
+def test_a_link_between_members_that_are_no_centres(spark):
+    """In one large bucket at every level, two members are near each other and nothing else."""
+    words = {i: [f"t{i}w{k}" for k in range(100)] for i in range(1, 9)}
+    words[4] = words[3][:95] + words[4][95:]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in words.items()], "id long, text string")
+    classes = spark.createDataFrame([(i, [11, 12, 13]) for i in words], "id long, bands array<long>")
+    got = minhash.links(docs, classes, words=1, percent=80)
+    assert [tuple(r) for r in got.collect()] == [(3, 4)]
+
+
+def test_the_remainder_holds_every_near_pair(spark):
+    """Sets of many sizes over common boilerplate, in components as they come."""
+    rng = np.random.default_rng(3)
+    common = rng.integers(-(2**63), 2**63 - 1, 300)
+    sets = []
+    for i in range(150):
+        if i % 3:
+            s = sets[-1][rng.random(len(sets[-1])) < rng.uniform(0.8, 1)]
+        else:
+            s = np.append(rng.choice(common, rng.integers(1, 300), replace=False), rng.integers(-(2**63), 2**63 - 1, rng.integers(0, 60)))
+        sets.append(np.unique(s))
+    sets = [s for s in sets if len(s)]
+    rows = [(i, i // 2, s.tolist()) for i, s in enumerate(sets)]
+    got = {tuple(r) for r in minhash._remainder(spark.createDataFrame(rows, "id long, component long, s array<long>"), 80).collect()}
+    for i, x in enumerate(sets):
+        for j in range(i):
+            o = len(np.intersect1d(x, sets[j]))
+            if i // 2 != j // 2 and 100 * o >= 80 * (len(x) + len(sets[j]) - o):
+                assert (j, i) in got, (j, i)
