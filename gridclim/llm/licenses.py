@@ -13,11 +13,19 @@ are judged alike and each gives a row.
 
 from __future__ import annotations
 
+import json
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import small_table
 from .common import keyed, whole
 
+#: Full texts of public licences with common variants of their titles and lists, read on the driver.
+TEXTS = Path(__file__).with_name("license_texts.json")
+
 # Short notices and dedications in common use.
 NOTICES = (
     ("MIT", "Released under the MIT License."),
@@ -49,6 +57,8 @@ SPELLINGS = (
     ("per cent", "percent"),
     ("https", "http"),
 )
+# Known texts of one length whose first paragraphs are put into the plan.
+LISTED = 1000
 COPYRIGHT = r"(?m)^[ \t]*(?:copyright|©|\(c\))[^\n]*$"
 OTHER = r"[^\p{L}\p{N}\n]+"
 PARAGRAPHS = r"\n[ \n]*\n"
@@ -70,15 +80,20 @@ def _flat(lines: Column) -> Column:
     return F.trim(F.regexp_replace(lines, r"[ \n]+", " "))
 
 
+def _first(lines: Column) -> Column:
+    """A hash of the first paragraph."""
+    return F.xxhash64(_flat(F.get(F.split(F.trim(lines), PARAGRAPHS, -1), F.lit(0))))
+
+
 def known(licenses: DataFrame, *, name_col: str = "license", text_col: str = "text") -> DataFrame:
-    """(digest, paragraphs, licenses): a row per canonical text."""
+    """(digest, licenses, paragraphs): a row per canonical text, with the numbers and first ones of its paragraphs."""
     lines = canonical_lines(whole(text_col))
     return (
         licenses.select(F.col(name_col).cast("string").alias("license"), lines.alias("t"))
-        .select("license", _flat(F.col("t")).alias("flat"), F.size(F.split(F.trim("t"), PARAGRAPHS, -1)).alias("paragraphs"))
+        .select("license", _flat(F.col("t")).alias("flat"), F.size(F.split(F.trim("t"), PARAGRAPHS, -1)).alias("paragraphs"), _first(F.col("t")).alias("first"))
         .where("license IS NOT NULL AND flat <> ''")
         .groupBy(F.sha2("flat", 256).alias("digest"))
-        .agg(F.collect_set("license").alias("licenses"), F.collect_set("paragraphs").alias("paragraphs"))
+        .agg(F.collect_set("license").alias("licenses"), F.collect_set(F.struct("paragraphs", "first")).alias("paragraphs"))
     )
 
 
@@ -86,6 +101,18 @@ def notices(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(NOTICES), "license string, text string")
 
 
+def full_texts(spark: SparkSession) -> DataFrame:
+    """As they are, and with each paragraph on one line, as a line that starts with "copyright" is dropped."""
+    rows = [(r["license"], r["text"]) for r in json.loads(TEXTS.read_text(encoding="utf-8"))]
+    lines = lambda t: "\n\n".join(" ".join(p.split()) for p in re.split(r"\n\s*\n", t))
+    return small_table(spark, rows + [(name, lines(t)) for name, t in rows], "license string, text string")
+
+
+def built_in(spark: SparkSession) -> DataFrame:
+    """(license, text): all notices and full texts the package knows."""
+    return notices(spark).union(full_texts(spark))
+
+
 def scan(
     docs: DataFrame, licenses: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 200_000
 ) -> DataFrame:
@@ -95,14 +122,18 @@ def scan(
     ``broadcast_rows`` bounds the digests that are broadcast; more of them are met by a shuffle.
     """
     table = known(licenses)
-    n, runs = table.agg(F.count(F.lit(1)), F.array_distinct(F.flatten(F.collect_set("paragraphs")))).first()
+    starts = table.select("digest", F.explode("paragraphs").alias("p")).groupBy("p.paragraphs").agg(
+        F.when(F.count_distinct("p.first") <= LISTED, F.collect_set("p.first")).alias("firsts")
+    )
+    runs = {r["paragraphs"]: r["firsts"] for r in starts.collect()}
+    n = table.count()
     marker = table.sparkSession.range(1).select(F.lit("").alias("digest"), F.lit(None).cast("array<string>").alias("licenses"))
     table = table.select("digest", "licenses").union(marker)
 
     parts = F.col("parts")
     unit = lambda kind, t: F.struct(F.lit(kind).alias("kind"), t.alias("t"))
     units = [F.array(unit("marker", F.lit("")), unit("whole", F.col("t"))), F.transform("lines", lambda x: unit("line", x))]
-    units += [_paragraph_runs(parts, k) for k in sorted(runs or [])]  # as many as known texts differ in paragraphs
+    units += [_paragraph_runs(parts, k, runs[k]) for k in sorted(runs)]  # as many as known texts differ in paragraphs
     rows = (
         keyed(docs, id_col, text_col)
         .select("id", "th", canonical_lines(F.col("text")).alias("t"))
@@ -126,8 +157,11 @@ def scan(
     )
 
 
-def _paragraph_runs(parts: Column, k: int) -> Column:
+def _paragraph_runs(parts: Column, k: int, firsts: list[int] | None) -> Column:
+    """The runs of k paragraphs; of more than one only those that start as a known text does, if these starts are few."""
     starts = F.when(F.size(parts) >= k, F.sequence(F.lit(1), F.size(parts) - k + 1)).otherwise(F.array().cast("array<int>"))
+    if k > 1 and firsts is not None:
+        starts = F.filter(starts, lambda i: F.xxhash64(_flat(F.get(parts, i - 1))).isin(firsts))
     return F.transform(
         starts, lambda i: F.struct(F.lit("paragraphs").alias("kind"), F.array_join(F.slice(parts, i, F.lit(k)), "\n").alias("t"))
     )

@@ -35,7 +35,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.report(read(spark, sf_dir, "documents"), licenses.notices(spark))
+    return licenses.report(read(spark, sf_dir, "documents"), licenses.built_in(spark))
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
