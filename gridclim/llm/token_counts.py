@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,10 +35,13 @@ def ranks(path: str) -> dict[bytes, int]:
 
 
 def write(
-    docs: DataFrame, path: str, vocabulary: dict[bytes, int], pattern: str, eod: int, *, text_col: str = "text", width: int = 2
+    docs: DataFrame, path: str, vocabulary: dict[bytes, int], pattern: str, eod: int, *,
+    text_col: str = "text", width: int = 2, file_bytes: int = 1 << 30, file_rows: int = 1000,
 ) -> None:
-    """Write one flat file per task, documents in the order the task meets them.
+    """Write flat files, documents in the order a task meets them.
 
+    A token is a byte of text at least, so the longest text tells how many documents surely
+    stay below ``file_bytes``; then a task starts its next file, but not before ``file_rows``.
     Spark's text writer puts the tokens' raw bytes down as they are, and the bytes of the
     separator as its line end, on any file system.
     """
@@ -49,29 +53,55 @@ def write(
             ids = [np.array(own.encode_ordinary(t.as_py()), dtype=DTYPES[width]).tobytes() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["raw"])
 
+    longest = docs.agg(F.max(F.octet_length(whole(text_col)))).first()[0] or 0
+    most = max(file_rows, file_bytes // (width * (longest + 1)))
     separator = int(eod).to_bytes(width, "little").decode("latin-1")
     (
         docs.select(whole(text_col))
         .mapInArrow(tokens, "raw binary")
         .select(F.col("raw").cast("string"))
         .write.option("lineSep", separator).option("encoding", "ISO-8859-1").option("compression", "none")
+        .option("maxRecordsPerFile", most)
         .text(path)
     )
 
 
+def _opened(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a path as Spark names it, and the path in it."""
+    if path.startswith(("file:", "/")):
+        return pa.fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pa.fs.FileSystem.from_uri(path)
+
+
 def blocks(spark: SparkSession, path: str, *, width: int = 2, block: int = 1 << 20) -> DataFrame:
     """(file, k, raw): the files below ``path`` in blocks of ``block`` tokens.
 
-    A file is read as one value, so it may hold up to 2 GB; writers start a new one before that.
+    Files are only listed; their blocks are dealt out, and each one's bytes are read where it is
+    searched, so files may have any size. Where Arrow does not know the file system, a
+    file is read by Spark as one value, up to 2 GB.
     """
     size = block * width
-    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.col("length") / size).cast("int") - 1, F.lit(0)))
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-        .select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "content")
-        .select("file", "content", F.explode_outer(starts).alias("k"))
-        .select("file", F.col("k").cast("bigint").alias("k"), F.substring("content", F.col("k") * size + 1, F.lit(size)).alias("raw"))
-    )
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    name = F.element_at(F.split("path", "/"), -1).alias("file")
+    starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.ceil(F.col("length") / size) - 1, F.lit(0)))).alias("k")
+    try:
+        _opened(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return found.select(name, "content", starts).select(
+            "file", "k", F.substring("content", F.col("k").cast("int") * size + 1, F.lit(size)).alias("raw")
+        )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (where, k) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                system, inside = _opened(where)
+                with system.open_input_file(inside) as file:
+                    raw = file.read_at(size, k * size)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), batch.column(2).slice(i, 1), pa.array([raw], pa.binary())], names=["file", "k", "raw"]
+                )
+
+    return found.select(name, "path", starts).repartition("file", "k").mapInArrow(read, "file string, k long, raw binary")
 
 
 def count(flat: DataFrame, eod: int, *, width: int = 2) -> DataFrame:
@@ -126,10 +156,11 @@ def count(flat: DataFrame, eod: int, *, width: int = 2) -> DataFrame:
 def report(docs: DataFrame, path: str, vocabulary: dict[bytes, int], pattern: str, eod: int, **options) -> DataFrame:
     """Write the documents as flat files below ``path`` and count them there.
 
-    Files are named by their number and documents by their place in them.
+    Files are named by the number of their task, with 2^32 more for each file before of the
+    same task, and documents by their place in them.
     """
     write(docs, path, vocabulary, pattern, eod, **options)
     found = count(blocks(docs.sparkSession, path), eod)
-    return found.select(
-        F.regexp_extract("file", "part-([0-9]+)", 1).cast("int").alias("file"), "doc", "n_tokens", "closed"
-    )
+    number = lambda pattern: F.regexp_extract("file", pattern, 1).cast("bigint")
+    file = number("part-([0-9]+)") + F.coalesce(number(r"-c([0-9]+)\."), F.lit(0)) * F.lit(1 << 32)
+    return found.select(file.alias("file"), "doc", "n_tokens", "closed")

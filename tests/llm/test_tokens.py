@@ -117,3 +117,21 @@ def test_stitching(spark):
         df = spark.createDataFrame([*blocks, ("e", 0, b""), ("n", 0, None)], "file string, k long, raw binary")
         got = sorted((r.doc, r.n_tokens, r.closed) for r in token_counts.count(df, 1).collect())
         assert got == [(0, 2, True), (1, 0, True), (2, 7, True), (3, 2, False)]
+
+
+def test_a_file_is_read_by_ranges_and_writers_start_new_ones(spark, own, tmp_path):
+    ranks = token_counts.ranks(queries.RANKS)
+    # larger than one value may be: no documents, but one token at its end
+    with open(tmp_path / "part-00000-big.txt", "wb") as file:
+        file.truncate((1 << 31) + 2)
+        file.seek(1 << 31)
+        file.write(queries.END_OF_DOCUMENT.to_bytes(2, "little"))
+    got = token_counts.count(token_counts.blocks(spark, str(tmp_path)), queries.END_OF_DOCUMENT).collect()
+    assert [(r.doc, r.n_tokens, r.closed) for r in got] == [(0, 1 << 30, True)]
+    docs = spark.range(40).selectExpr("concat('text number ', id) AS text").coalesce(1)
+    path = scratch_dir(spark)
+    token_counts.write(docs, path, ranks, queries.SPLIT, queries.END_OF_DOCUMENT, file_bytes=400, file_rows=1)
+    sizes = [r.length for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length").collect()]
+    assert len(sizes) > 1 and max(sizes) <= 400
+    got = token_counts.count(token_counts.blocks(spark, path), queries.END_OF_DOCUMENT).collect()
+    assert Counter(r.n_tokens for r in got) == Counter(len(own.encode_ordinary(f"text number {i}")) for i in range(40))
