@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import pickle
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +52,25 @@ def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """
     packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
     return lambda: pickle.loads(packed.value)
+
+
+def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts of a column without NULLs, and where each one starts; one place more than texts."""
+    texts = texts.cast(pa.string()) if texts.type != pa.string() else texts
+    _, places, data = texts.buffers()
+    offsets = np.frombuffer(places, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    held = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    return held[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def pieces_of(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of text, one row at least."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        _, offsets = utf8(batch.column(column))
+        first = 0
+        while first < batch.num_rows:
+            stop = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+            yield batch.slice(first, stop - first)
+            first = stop

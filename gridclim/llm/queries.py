@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_dir
-from . import decontaminate, fingerprint, language, licenses, minhash, repeats, secrets, sentencepiece, sql, token_counts, toxicity
+from . import bpe, decontaminate, fim, fingerprint, language, lexical, licenses, minhash, repeats, secrets, sentencepiece, sql, token_counts, toxicity
 from .common import read
 
 # Vocabulary files of public tokenizers, on the driver only.
@@ -16,6 +16,7 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END_OF_DOCUMENT = 50256
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_PAIRS = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.report(read(spark, sf_dir, "documents"), scratch_dir(spark), ranks, SPLIT, END_OF_DOCUMENT)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(read(spark, sf_dir, "documents"), bpe.Vocabulary.read(BYTE_PAIRS))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,7 +86,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_repeats,
         op9_language,
         op10_token_counts,
+        op11_lexical_search,
+        op12_bpe,
+        op13_fill_in_middle,
     )
 }
 
-SQL: dict[str, str] = {"op1_decontamination": sql.DECONTAMINATION, "op2_minhash": sql.NEAR_DUPLICATES, "op5_licenses": sql.LICENSES}
+SQL: dict[str, str] = {
+    "op1_decontamination": sql.DECONTAMINATION,
+    "op2_minhash": sql.NEAR_DUPLICATES,
+    "op5_licenses": sql.LICENSES,
+    "op11_lexical_search": sql.LEXICAL_SEARCH,
+    "op13_fill_in_middle": sql.FILL_IN_MIDDLE,
+}

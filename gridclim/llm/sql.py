@@ -91,3 +91,44 @@ SELECT doc_id, coalesce(is_license, false) AS is_license, coalesce(len(found), 0
   coalesce(array_to_string(found, ','), '') AS licenses
 FROM documents LEFT JOIN g USING (doc_id)
 """
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS t FROM documents),
+n AS (SELECT doc_id, len(t) AS n FROM d WHERE len(t) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+q AS (SELECT item_id, term, count(*) AS r FROM (SELECT item_id, unnest({_WORDS}) AS term FROM benchmark) AS x GROUP BY 1, 2),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) AS x GROUP BY 1, 2),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY 1) AS x, total
+),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n USING (doc_id), total GROUP BY 1, 2
+),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
+def _draw(k: int) -> str:
+    return f"CAST('0x' || substr(digest, {8 * k + 1}, 8) AS BIGINT)"
+
+
+FILL_IN_MIDDLE = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || CAST(doc_id AS VARCHAR)) AS digest FROM documents),
+h AS (SELECT doc_id, t, length(t) AS n, {", ".join(f"{_draw(k)} AS h{k + 1}" for k in range(4))} FROM d),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+),
+p AS (SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
