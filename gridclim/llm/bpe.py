@@ -1,11 +1,11 @@
 """Byte-level BPE: encoding through a table of distinct words, decoding through a table of pieces.
 
 Texts are split into words, block by block; a block of documents keeps the places of its
-words in the block's own dictionary. The dictionaries of all blocks meet in one table of
-distinct words, each of which is encoded once, whatever number of documents holds it, and
-each of whose ids is joined to its piece. The results go back to the blocks, where ids and
-pieces are put together by the words' places. Only dictionaries are compared across the
-corpus, and a frequent word is one row per block.
+words in the block's own dictionary. The dictionaries of all blocks meet in one table, sorted
+by word, in which each distinct word is encoded once, whatever number of documents holds
+it. The ids go back to the blocks, where they are put together by the words' places, and
+joined to the table of pieces. Only dictionaries are compared across the corpus, and a
+frequent word is one row per block.
 
 Splitting follows the tokenizer's own rules: white space goes in front of the next word if it is
 one blank, runs of letters, of numbers and of other characters are words, and ``'s 't
@@ -32,11 +32,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ..session import materialise, small_table
+from ..session import small_table
 from .common import pieces_of, share, utf8, whole
 
 OTHER, LETTER, NUMBER, SPACE, BLANK = range(5)
@@ -180,115 +180,171 @@ class Vocabulary:
         return [i for i in ids if i >= 0]
 
 
-def split(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
-    """(block, id, n_words, places, at, word): documents as places of words, and the words of blocks.
-
-    A document has ``id``, ``n_words`` and ``places``, little-endian numbers of two or four bytes each;
-    a word has ``at``, its place in the dictionary of its block. A block holds about
-    ``block_bytes`` of text. Written once, since a block is named by the task that made it.
+class Block:
+    """Documents that share a dictionary of words, the most frequent word first."""
+
+    def __init__(self) -> None:
+        self.size = 0
+        self.ids: list[pa.Array] = []
+        self.lengths: list[np.ndarray] = []
+        self.words: list[pa.DictionaryArray] = []
+
+    def add(self, ids: pa.Array, texts: pa.Array, vocabulary: Vocabulary) -> None:
+        data, ends = utf8(texts)
+        starts = vocabulary.word_starts(data, ends)
+        bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
+        words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, bounds, pa.py_buffer(data)])
+        self.size += len(data)
+        self.ids.append(ids)
+        self.lengths.append(np.diff(np.searchsorted(starts, ends)))
+        self.words.append(words.dictionary_encode())
+
+    def placed(self) -> tuple[pa.Array, list[np.ndarray]]:
+        """The dictionary, and each part's words as places in it."""
+        parts = pa.chunked_array(self.words).unify_dictionaries().chunks
+        found = [part.indices.to_numpy(zero_copy_only=False) for part in parts]
+        words = parts[0].dictionary
+        often = np.argsort(-np.bincount(np.concatenate(found), minlength=len(words)), kind="stable")
+        place = np.empty(len(words), dtype="<u4")
+        place[often] = np.arange(len(words))
+        return words.take(pa.array(often)), [place[part] for part in found]
+
+
+def blocks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, block_bytes: int, part_bytes: int) -> Iterator[tuple[int, Block, pa.Array, list[np.ndarray]]]:
+    """Documents of a task in blocks of about ``block_bytes`` of text, each under a key.
+
+    The key names the task and the contents, so one that is worked out again gets the same key
+    only if it holds the same documents in the same order.
     """
+    block, made = Block(), 0
+
+    def closed() -> tuple[int, Block, pa.Array, list[np.ndarray]]:
+        words, places = block.placed()
+        key = hashlib.blake2b(f"{TaskContext.get().partitionId()} {made}".encode(), digest_size=8)
+        for some in (*words.buffers()[1:], *places):
+            if some is not None:
+                key.update(some)
+        return int.from_bytes(key.digest(), "little", signed=True), block, words, places
+
+    for batch in pieces_of(batches, 1, part_bytes):
+        block.add(batch.column(0), batch.column(1), vocabulary)
+        if block.size >= block_bytes:
+            yield closed()
+            block, made = Block(), made + 1
+    if block.ids:
+        yield closed()
+
+
+def packed(places: np.ndarray) -> bytes:
+    """Places byte by byte, high bytes apart from low ones, compressed."""
+    return pa.compress(places.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    plain = pa.decompress(raw, decompressed_size=4 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(plain, dtype=np.uint8).reshape(4, n).T).view("<u4").ravel()
+
+
+def dictionaries(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int, part_bytes: int) -> DataFrame:
+    """(block, at, word): the distinct words of each block."""
     shared = share(docs.sparkSession, vocabulary)
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared()
-        block = TaskContext.get().partitionId() << 32
-        for batch in pieces_of(batches, 1, block_bytes):
-            data, ends = utf8(batch.column(1))
-            starts = own.word_starts(data, ends)
-            offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
-            words = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
-            places = words.indices.to_numpy(zero_copy_only=False).astype("<u2" if len(words.dictionary) <= 1 << 16 else "<u4")
-            first = np.searchsorted(starts, ends).astype(np.int32)
-            packed = pa.BinaryArray.from_buffers(
-                pa.binary(), batch.num_rows, [None, pa.py_buffer(first * np.int32(places.itemsize)), pa.py_buffer(places)]
-            )
-            n, m = batch.num_rows, len(words.dictionary)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * n, pa.int64()), batch.column(0), pa.array(np.diff(first), pa.int32()), packed, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                names=["block", "id", "n_words", "places", "at", "word"],
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * m, pa.int64()), pa.nulls(m, batch.column(0).type), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.array(np.arange(m), pa.int32()), words.dictionary],
-                names=["block", "id", "n_words", "places", "at", "word"],
-            )
-            block += 1
+        for key, _, words, _ in blocks(batches, shared(), block_bytes, part_bytes):
+            for k in range(0, len(words), 10_000):
+                some = words[k : k + 10_000]
+                columns = [pa.array(np.full(len(some), key)), pa.array(np.arange(k, k + len(some)), pa.int32()), some]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "at", "word"])
 
-    found = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).mapInArrow(
-        cut, f"block long, id {kind}, n_words int, places binary, at int, word binary"
-    )
-    return materialise(found)
+    return docs.mapInArrow(cut, "block long, at int, word binary")
 
 
-def piece_table(spark, vocabulary: Vocabulary) -> DataFrame:
-    """(id, piece): what each id stands for; as large as the vocabulary file, so it is broadcast."""
-    return small_table(spark, sorted(vocabulary.pieces.items()), "id int, piece binary")
+def places(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int, part_bytes: int) -> DataFrame:
+    """(block, ids, lengths, places): documents as places of words, many in a row."""
+    shared = share(docs.sparkSession, vocabulary)
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, block, _, found in blocks(batches, shared(), block_bytes, part_bytes):
+            for ids, lengths, part in zip(block.ids, block.lengths, found):
+                columns = [
+                    pa.array([key], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                    pa.array([lengths], pa.list_(pa.int32())),
+                    pa.array([packed(part)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "lengths", "places"])
+
+    return docs.mapInArrow(cut, f"block long, ids array<{kind}>, lengths array<int>, places binary")
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(word, ids) of distinct words."""
+    """(block, at, ids): the table of all dictionaries' words, in which each distinct word is encoded once.
+
+    Rows of one word lie side by side after one exchange by word; there is one for each block that holds it.
+    """
     shared = share(words.sparkSession, vocabulary)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared()
+        last, ids = None, []
         for batch in batches:
-            ids = [own.encode(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
-
-    return words.select("word").distinct().mapInArrow(code, "word binary, ids array<int>")
+            found = []
+            for word in batch.column(2).to_pylist():
+                if word != last:
+                    last, ids = word, own.encode(word)
+                found.append(ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["of", "at", "ids"])
 
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(code, "of long, at int, ids array<int>")
 
-def with_pieces(coded: DataFrame, pieces: DataFrame) -> DataFrame:
-    """(word, ids, pieces): the ids of words joined to what they stand for, in their order."""
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda p: p["piece"])
-    found = coded.select("word", "ids", F.posexplode("ids").alias("pos", "id")).join(F.broadcast(pieces), "id")
-    return found.groupBy("word").agg(F.first("ids").alias("ids"), ordered.alias("pieces"))
 
+def encode(
+    docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 24 << 20, part_bytes: int = 4 << 20
+) -> DataFrame:
+    """(doc_id, ids, decoded): each row's ids, and the text that they decode to.
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
-    """(doc_id, ids, decoded): each row's ids, and the text that they decode to."""
-    parts = split(docs, vocabulary, id_col=id_col, text_col=text_col, block_bytes=block_bytes)
-    known = parts.where(F.col("word").isNotNull()).select("block", "at", "word")
-    coded = with_pieces(encode_words(known, vocabulary), piece_table(docs.sparkSession, vocabulary))
-    dictionary = known.join(coded, "word").select(F.col("block").alias("of"), "at", "ids", "pieces")
-    held = parts.where(F.col("places").isNotNull()).select("block", "id", "n_words", "places")
+    ``docs`` is read twice, once for the dictionaries and once for the places of words, and must
+    give the same rows in the same order, as a table of files does. Other input should
+    be written first; a block that comes out differently ends the job with an error.
+    """
+    named = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
+    coded = encode_words(dictionaries(named, vocabulary, block_bytes, part_bytes), vocabulary)
+    held = places(named, vocabulary, block_bytes, part_bytes)
     kind = docs.schema[id_col].dataType.simpleString()
+    pieces = [vocabulary.pieces.get(i, b"") for i in range(max(vocabulary.pieces) + 1)]
+    shared = share(docs.sparkSession, pa.array(pieces, pa.binary()))
 
     def put_together(rows: pa.Table, words: pa.Table) -> pa.Table:
+        piece = shared()
         words = words.sort_by("at").combine_chunks()
-        rows = rows.combine_chunks()
-        n = rows["n_words"].to_numpy()
-        raw = b"".join(rows["places"].to_pylist())
-        places = np.frombuffer(raw, dtype="<u4" if len(raw) == 4 * n.sum() else "<u2")
-        ends = np.append(0, np.cumsum(n))
-        ids, pieces = (_one(words[c]) for c in ("ids", "pieces"))
-        token_ends = np.append(0, np.cumsum(np.diff(ids.offsets.to_numpy())[places]))[ends]
-        texts = pieces.flatten()
-        bounds = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
-        sizes = np.diff(bounds[pieces.offsets.to_numpy()])
-        text_ends = np.append(0, np.cumsum(sizes[places]))[ends]
-        picked = pa.array(places.astype(np.int64))
-        flat = ids.take(picked).flatten()
-        joined = b"".join(pieces.take(picked).flatten().to_pylist())
-        return pa.table(
-            {
-                "doc_id": rows["id"],
-                "ids": pa.ListArray.from_arrays(pa.array(token_ends, pa.int32()), flat),
-                "decoded": pa.array([joined[a:b].decode("utf-8", "replace") for a, b in zip(text_ends, text_ends[1:])], pa.string()),
-            }
-        )
-
-    return held.groupBy("block").cogroup(dictionary.groupBy("of")).applyInArrow(
-        put_together, f"doc_id {kind}, ids array<int>, decoded string"
-    )
-
-
-def _one(column: pa.ChunkedArray) -> pa.Array:
-    """A column as one array whose buffers start with its first value."""
-    found = column.combine_chunks()
-    if isinstance(found, pa.ChunkedArray):
-        found = found.chunk(0) if found.num_chunks else pa.array([], column.type)
-    return pa.concat_arrays([found, pa.array([], found.type)]) if found.offset else found
+        ids = words["ids"].chunk(0) if words.num_rows else pa.array([], pa.list_(pa.int32()))
+        lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+        found = []
+        for names, n, raw in zip(rows["ids"], rows["lengths"], rows["places"].to_pylist()):
+            n = n.values.to_numpy()
+            at = unpacked(raw, int(n.sum()))
+            if len(at) and at.max() >= len(ids):
+                raise RuntimeError("documents came in another order when they were read again")
+            ends = np.append(0, np.cumsum(n))
+            tokens = ids.take(pa.array(at)).flatten()
+            token_ends = np.append(0, np.cumsum(lengths[at]))[ends]
+            texts = piece.take(tokens)
+            raw = texts.buffers()[2].to_pybytes() if len(texts) else b""
+            text_ends = np.frombuffer(texts.buffers()[1], dtype=np.int32)[token_ends] if len(texts) else token_ends
+            decoded = [raw[a:b].decode("utf-8", "replace") for a, b in zip(text_ends, text_ends[1:])]
+            columns = [names.values, pa.ListArray.from_arrays(pa.array(token_ends, pa.int32()), tokens), pa.array(decoded, pa.string())]
+            found.append(pa.table(columns, names=["doc_id", "ids", "decoded"]))
+        if not found:
+            raise RuntimeError("documents came in another order when they were read again")
+        return pa.concat_tables(found)
+
+    return held.groupBy("block").cogroup(coded.groupBy("of")).applyInArrow(put_together, f"doc_id {kind}, ids array<int>, decoded string")
+
+
+def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
+    """(id, piece): what each id stands for; as large as the vocabulary file, so it is broadcast."""
+    return small_table(spark, sorted(vocabulary.pieces.items()), "id int, piece binary")
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

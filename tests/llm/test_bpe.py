@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from gridclim.llm import bpe, queries
 from gridclim.llm.common import utf8
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .conftest import texts_of
@@ -58,7 +59,7 @@ def test_decode(spark, vocabulary, library):
     assert bpe.decode(df.limit(0), vocabulary).count() == 0
 
 
-@pytest.mark.parametrize("block", [50, 8 << 20])
+@pytest.mark.parametrize("block", [50, 24 << 20])
 def test_edges(spark, vocabulary, library, edges, nothing, block):
     special = spark.createDataFrame([(20, " <|endoftext|> \n<|endoftext|>x"), (20, "<|endoftext|>"), (21, "a <|end"), (22, "oftext|>")], "doc_id long, text string")
     docs = edges.unionByName(special, allowMissingColumns=True)
@@ -80,7 +81,34 @@ def test_whole_table(spark, docs, library):
 
 
 def test_each_word_is_encoded_once(spark, vocabulary, docs):
-    parts = bpe.split(docs, vocabulary, block_bytes=10_000)
-    words = parts.where("word IS NOT NULL").select("word")
-    coded = bpe.encode_words(words, vocabulary)
-    assert coded.count() == words.distinct().count() < words.count()
+    named = docs.selectExpr("doc_id AS id", "text").repartition(4)
+    words = bpe.dictionaries(named, vocabulary, 10_000, 5_000)
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counting(bpe.Vocabulary):
+        def encode(self, word):
+            calls.add(1)
+            return super().encode(word)
+
+    counting = Counting(**{name: getattr(vocabulary, name) for name in ("classes", "byte_ids", "merges", "pieces", "added")})
+    rows = bpe.encode_words(words, counting).count()
+    assert calls.value == words.select("word").distinct().count() < rows == words.count()
+
+
+def test_places_are_packed():
+    for n in (0, 1, 7, 5000):
+        found = np.random.default_rng(n).integers(0, 2**31, n).astype("<u4")
+        assert (bpe.unpacked(bpe.packed(found), n) == found).all()
+
+
+def test_other_rows_on_second_reading(spark, vocabulary):
+    docs = spark.range(2000, numPartitions=2).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    twice = docs.mapInArrow(_shuffled, "doc_id long, text string")
+    with pytest.raises(Exception, match="another order"):
+        bpe.encode(twice, vocabulary).count()
+
+
+def _shuffled(batches):
+    rng = np.random.default_rng()
+    for batch in batches:
+        yield batch.take(pa.array(rng.permutation(batch.num_rows)))
