@@ -1,11 +1,11 @@
 """Byte-level BPE: encoding through a table of distinct words, decoding through a table of pieces.
 
 Texts are split into words, block by block; a block of documents keeps the places of its
-words in the block's own dictionary. The dictionaries of all blocks meet in one table, sorted
-by word, in which each distinct word is encoded once, whatever number of documents holds
+words in the block's own dictionary. The dictionaries of all blocks meet in one table, dealt by
+word, in which each distinct word is encoded once, whatever number of documents holds
 it. The ids go back to the blocks, where they are put together by the words' places, and
 joined to the table of pieces. Only dictionaries are compared across the corpus, and a
-frequent word is one row per block.
+frequent word is there once per block.
 
 Splitting follows the tokenizer's own rules: white space goes in front of the next word if it is
 one blank, runs of letters, of numbers and of other characters are words, and ``'s 't
@@ -24,9 +24,11 @@ import hashlib
 import heapq
 import json
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -235,9 +237,9 @@ def blocks(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, block_byte
         yield closed()
 
 
-def packed(places: np.ndarray) -> bytes:
-    """Places byte by byte, high bytes apart from low ones, compressed."""
-    return pa.compress(places.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, high bytes apart from low ones, compressed."""
+    return pa.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
 
 
 def unpacked(raw: bytes, n: int) -> np.ndarray:
@@ -246,17 +248,34 @@ def unpacked(raw: bytes, n: int) -> np.ndarray:
 
 
 def dictionaries(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int, part_bytes: int) -> DataFrame:
-    """(block, at, word): the distinct words of each block."""
+    """(bucket, block, n, at, size, lengths, words): each block's distinct words, those of a bucket in a row.
+
+    Words are dealt by a hash into as many buckets as the session's exchanges have
+    partitions. A row holds ``n`` words side by side, their lengths, and the steps between their places.
+    """
     shared = share(docs.sparkSession, vocabulary)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, words, _ in blocks(batches, shared(), block_bytes, part_bytes):
-            for k in range(0, len(words), 10_000):
-                some = words[k : k + 10_000]
-                columns = [pa.array(np.full(len(some), key)), pa.array(np.arange(k, k + len(some)), pa.int32()), some]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "at", "word"])
-
-    return docs.mapInArrow(cut, "block long, at int, word binary")
+            bucket = np.array([zlib.crc32(w) % buckets for w in words.to_pylist()], dtype=np.int64)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            for k, (a, b) in enumerate(zip(ends, ends[1:])):
+                if a < b:
+                    some = words.take(pa.array(order[a:b]))
+                    joined = some.buffers()[2].to_pybytes()
+                    lengths = np.diff(np.frombuffer(some.buffers()[1], dtype=np.int32)[: b - a + 1])
+                    row = {
+                        "bucket": k, "block": key, "n": int(b - a), "at": packed(np.diff(order[a:b], prepend=0)), "size": int(lengths.sum()),
+                        "lengths": packed(lengths), "words": pa.compress(joined[: lengths.sum()], codec="zstd", asbytes=True),
+                    }
+                    yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+    schema = pa.schema(
+        [("bucket", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), ("at", pa.binary()), ("size", pa.int32()), ("lengths", pa.binary()), ("words", pa.binary())]
+    )
+    return docs.mapInArrow(cut, "bucket int, block long, n int, at binary, size int, lengths binary, words binary")
 
 
 def places(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int, part_bytes: int) -> DataFrame:
@@ -279,28 +298,52 @@ def places(docs: DataFrame, vocabulary: Vocabulary, block_bytes: int, part_bytes
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(block, at, ids): the table of all dictionaries' words, in which each distinct word is encoded once.
+    """(of, n, at, n_ids, counts, ids): the dictionaries' words as ids, each distinct word encoded once.
 
-    Rows of one word lie side by side after one exchange by word; there is one for each block that holds it.
+    All rows of a bucket meet in one task, one for each block, and so do all occurrences of
+    a word; the task holds the bucket's distinct words while it passes.
     """
     shared = share(words.sparkSession, vocabulary)
+    schema = pa.schema([("of", pa.int64()), ("n", pa.int32()), ("at", pa.binary()), ("n_ids", pa.int32()), ("counts", pa.binary()), ("ids", pa.binary())])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared()
-        last, ids = None, []
+        bucket, known = None, {}
         for batch in batches:
-            found = []
-            for word in batch.column(2).to_pylist():
-                if word != last:
-                    last, ids = word, own.encode(word)
-                found.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["of", "at", "ids"])
-
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(code, "of long, at int, ids array<int>")
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket:
+                    bucket, known = row["bucket"], {}
+                ends = np.cumsum(unpacked(row["lengths"], row["n"]))
+                joined = pa.decompress(row["words"], decompressed_size=row["size"], codec="zstd", asbytes=True)
+                found = []
+                for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+                    word = joined[a:b]
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = own.encode(word)
+                    found.append(ids)
+                counts, ids = np.array([len(i) for i in found]), np.array(list(chain.from_iterable(found)))
+                coded = {"of": row["block"], "n": row["n"], "at": row["at"], "n_ids": len(ids), "counts": packed(counts), "ids": packed(ids)}
+                yield pa.RecordBatch.from_pylist([coded], schema=schema)
+
+    return words.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(code, "of long, n int, at binary, n_ids int, counts binary, ids binary")
+
+
+def _dictionary(rows: pa.Table) -> pa.ListArray:
+    """The ids of a block's words, by their places, from the rows of all buckets."""
+    held = rows.to_pylist()
+    at = [np.cumsum(unpacked(r["at"], r["n"])) for r in held]
+    counts = [unpacked(r["counts"], r["n"]) for r in held]
+    ids = [unpacked(r["ids"], r["n_ids"]) for r in held]
+    if not held:
+        return pa.array([], pa.list_(pa.int32()))
+    ends = np.append(0, np.cumsum(np.concatenate(counts)))
+    found = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+    return found.take(pa.array(np.argsort(np.concatenate(at))))
 
 
 def encode(
-    docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 24 << 20, part_bytes: int = 4 << 20
+    docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16 << 20, part_bytes: int = 1 << 20
 ) -> DataFrame:
     """(doc_id, ids, decoded): each row's ids, and the text that they decode to.
 
@@ -317,8 +360,7 @@ def encode(
 
     def put_together(rows: pa.Table, words: pa.Table) -> pa.Table:
         piece = shared()
-        words = words.sort_by("at").combine_chunks()
-        ids = words["ids"].chunk(0) if words.num_rows else pa.array([], pa.list_(pa.int32()))
+        ids = _dictionary(words)
         lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
         found = []
         for names, n, raw in zip(rows["ids"], rows["lengths"], rows["places"].to_pylist()):
