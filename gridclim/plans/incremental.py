@@ -12,6 +12,7 @@ from ..model import STANDARD_FREQS
 from ..operators import canon, completeness
 from ..session import materialise
 from ..sources import metadata, store
+from ..sources.journal import Journal
 from . import derived_index
 
 GRID_KEY = ("time", "lat", "lon")
@@ -19,47 +20,36 @@ REGIONAL_KEY = ("region_set", "region", "time")
 INDEX_KEY = ("region_set", "region", "index", "time", "time_filter")
 
 
+def index_labels(stored: DataFrame) -> DataFrame:
+    freq = calendar.freq_of_filter(F.col("time_filter")).alias("freq")
+    return stored.select("year", "region_set", "index", freq, "period", "time").distinct()
+
+
 def default_end(today: dt.date | None = None) -> dt.date:
     """Last day of the previous month; the clock can be given."""
     today = today or dt.date.today()
     return today.replace(day=1) - dt.timedelta(days=1)
 
 
-def last_date(data: DataFrame, attrs: dict[str, str] | None = None) -> dt.date | None:
-    """End of a dataset: from its ``dcterms:valid`` attribute, else from its rows."""
-    valid = (attrs or {}).get("dcterms:valid", "")
-    if "/" in valid:
-        return dt.date.fromisoformat(valid.split("/")[1].strip()[:10])
-    if "year" in data.columns:  # the newest partition is enough
-        data = data.where(F.col("year") == data.select(F.max("year").alias("y")).scalar())
-    return data.agg(F.max("time")).first()[0]
-
-
 def update_grid(
-    spark: SparkSession,
-    path: str,
-    source: DataFrame,
-    end: dt.date,
-    attrs: dict[str, str] | None = None,
+    spark: SparkSession, path: str, source: DataFrame, end: dt.date, journal: Journal | None = None
 ) -> bool:
     """Append the days up to ``end`` that the store lacks. False when there are none.
 
-    Years are swapped one by one when an update commits. What a broken commit left out is
-    among the lacking days and comes with the next run. With ``attrs`` the days after the
-    end of ``dcterms:valid`` are due instead.
+    With a journal the days come from the labels it noted, and attributes are refreshed; a commit
+    that broke is among its commits, and only its years are read again. Without one, the time column of the
+    years that the source covers is read. Years are swapped one by one when an update
+    commits; what a broken commit left out is among the lacking days.
     """
-    stored = spark.read.parquet(path)
     days = canon.between_dates(source, None, end.isoformat())
-    if attrs is not None:
-        last = last_date(stored, attrs)
-        if last is not None and last >= end:
-            return False
-        start = None if last is None else (last + dt.timedelta(days=1)).isoformat()
-        due = canon.between_dates(days, start, None)
+    if journal is None:
+        years = F.col("year").between(*(axis.scalar(days, f(F.year("time"))) for f in (F.min, F.max)))
+        held = axis.time_axis(spark.read.parquet(path).where(years))
     else:
-        absent = axis.time_axis(days).join(axis.time_axis(stored), "time", "left_anti")
-        due = days.join(absent, "time", "left_semi")
-    return store.update_store(spark, path, store.clean(due), GRID_KEY)
+        held = journal.held().select("time")
+    absent = axis.time_axis(days).join(held, "time", "left_anti")
+    due = days.join(absent, "time", "left_semi")
+    return store.update_store(spark, path, store.clean(due), GRID_KEY, record=journal)
 
 
 def region_increment(
@@ -67,7 +57,7 @@ def region_increment(
 ) -> DataFrame:
     """Crosswalk rows joined to the days each region set still lacks.
 
-    ``stored`` is the regional store. Each set has its own days: one that lags behind, was
+    ``stored`` gives ``region_set, time``: the regional store, or the labels noted beside it. Each set has its own days: one that lags behind, was
     never written, or lost a year to a broken commit is due where it lacks something.
     """
     days = canon.between_dates(grid, None, end.isoformat())
@@ -90,14 +80,15 @@ def update_regions(
     xwalk: DataFrame,
     variables: list[str],
     end: dt.date,
+    journal: Journal | None = None,
 ) -> bool:
-    """Bring every region set of a regional store up to ``end``."""
-    stored = spark.read.parquet(path)
+    """Bring every region set of a regional store up to ``end``; ``journal`` as for a grid."""
+    stored = spark.read.parquet(path) if journal is None else journal.held()
     due = region_increment(grid, xwalk, stored, end)
     new = due.groupBy(*REGIONAL_KEY).agg(
         *[numeric.weighted_mean(F.col(v), F.col("w")).alias(v) for v in variables]
     )
-    return store.update_store(spark, path, new, REGIONAL_KEY)
+    return store.update_store(spark, path, new, REGIONAL_KEY, record=journal)
 
 
 def due_from(periods: DataFrame, checkpoints: DataFrame, refresh: bool = False) -> DataFrame:
@@ -126,6 +117,8 @@ def update_index(
     names: tuple[str, ...],
     freqs: tuple[str, ...] = STANDARD_FREQS,
     refresh: bool = False,
+    journal: Journal | None = None,
+    days: DataFrame | None = None,
 ) -> bool:
     """Compute the periods that the store lacks and upsert them. False when there are none.
 
@@ -135,24 +128,35 @@ def update_index(
     refer to the whole grid. A period counts as complete with four fifths of its days, so
     the last stored one may have been computed before its last days came; ``refresh``
     computes it again, and then the result equals a full run wherever the last update stopped.
+
+    With ``days``, the days of the grid as its journal noted them, completeness is judged without
+    reading the grid.
     """
-    due = materialise(due_periods(spark.read.parquet(path), grid, xwalk, names, freqs, refresh))
+    days = grid if days is None else days
+    stored = index_labels(spark.read.parquet(path)) if journal is None else journal.held()
+    due = materialise(due_periods(stored, days, xwalk, names, freqs, refresh))
     starts = {r["freq"]: r["t"] for r in due.groupBy("freq").agg(F.min("period").alias("t")).collect()}
     if not starts:
         return False
     late = {r["index"] for r in due.select("index").distinct().collect()}
-    recent = canon.between_dates(grid, min(starts.values()).isoformat(), None)
+    recent = since(grid, min(starts.values()))
     new = derived_index.regional_indices(
-        recent, xwalk, tuple(n for n in names if n in late), tuple(starts), history=grid, axis_of=grid, due=starts
+        recent, xwalk, tuple(n for n in names if n in late), tuple(starts), history=grid, axis_of=days, due=starts
     )
     freq = calendar.freq_of_filter(F.col("time_filter"))
     wanted = new.withColumn("freq", freq).join(due, ["region_set", "index", "freq", "period"], "left_semi").drop("freq")
-    return store.update_store(spark, path, wanted, INDEX_KEY)
+    return store.update_store(spark, path, wanted, INDEX_KEY, record=journal)
+
+
+def since(grid: DataFrame, first: dt.date) -> DataFrame:
+    """Rows from a day on; of a grid in years, only those years are read."""
+    recent = canon.between_dates(grid, first.isoformat(), None)
+    return recent.where(F.col("year") >= first.year) if "year" in grid.columns else recent
 
 
 def due_periods(
     stored: DataFrame,
-    grid: DataFrame,
+    days: DataFrame,
     xwalk: DataFrame,
     names: tuple[str, ...],
     freqs: tuple[str, ...] = STANDARD_FREQS,
@@ -160,15 +164,15 @@ def due_periods(
 ) -> DataFrame:
     """``region_set, index, freq, period``: complete periods that an index store lacks.
 
-    As many rows at most as region sets times indices times periods of the calendar.
+    ``stored`` gives the same four columns: the labels of the store. As many rows at most as region sets times indices times periods of the calendar.
     """
-    periods = completeness.complete_periods(grid, freqs).select("freq", F.col("time").alias("period"))
+    periods = completeness.complete_periods(days, freqs).select("freq", F.col("time").alias("period"))
     sets = axis.scalar(xwalk.select("region_set").distinct(), F.collect_set("region_set"))  # a handful
     wanted = periods.withColumn("region_set", F.explode(sets)).withColumn(
         "index", F.explode(F.array(*[F.lit(n) for n in names]))
     )
     key = ["region_set", "index", "freq", "period"]
-    held = stored.select("region_set", "index", calendar.freq_of_filter(F.col("time_filter")).alias("freq"), "period").distinct()
+    held = stored.select(*key).distinct()
     if refresh:
         last = held.groupBy("region_set", "index", "freq").agg(F.max("period").alias("period"))
         held = held.join(last, key, "left_anti")

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from .. import CELL
 from ..functions import calendar
+from ..model import DAILY
 from ..operators import regions
-from ..plans import derived_index, incremental, ingest
+from ..plans import derived_index, incremental, index_run, ingest
 from ..session import scratch_dir
-from ..sources import metadata, store, tables
+from ..sources import journal, metadata, store, tables
 from ..streaming import daily
 from . import query
 from . import sql as q
@@ -256,3 +257,164 @@ def i6_upsert(spark, sf):
         F.count("*").alias("n"), r6(F.sum("pr")).alias("pr")
     )
 
+
+
+# --- what datasets say about themselves ---------------------------------------------------
+
+_THEN, _NOW = "2024-01-01T00:00:00Z", "2024-02-01T00:00:00Z"
+
+
+def _fields(frame: str, dataset: str, fields: dict[str, str]) -> str:
+    return q.union(*[f"SELECT {dataset} AS dataset, '{k}' AS key, {v} AS value FROM {frame}" for k, v in fields.items()])
+
+
+def _stored(attributes, keys):
+    rows = metadata.as_rows(attributes)
+    return rows.where(F.col("key").isin(list(keys)) | F.col("key").startswith("last_checkpoint_"))
+
+
+_SPAN = {
+    "dcterms:created": f"'{_THEN}'",
+    "dcterms:modified": f"'{_NOW}'",
+    "dcterms:valid": "a || '/' || b",
+    "dcterms:temporal": "'start=' || a || '; end=' || b",
+    "dc:coverage": "'Europe; ' || substr(a, 1, 4) || '-' || substr(b, 1, 4)",
+}
+
+
+@query(
+    "k11_stored_grid_attributes",
+    q.with_(q.GRID)
+    + """, s AS (SELECT strftime(min(time), '%Y-%m-%d') AS a, strftime(max(time), '%Y-%m-%d') AS b,
+        max(lat) AS n, min(lon) AS w, min(lat) AS s, max(lon) AS e FROM grid),
+      v AS (SELECT * FROM s, (VALUES ('pr'), ('tas')) AS t(variable)) """
+    + _fields("v", "variable", {
+        **_SPAN, "dcterms:spatial": "'westlimit=' || w || ', eastlimit=' || e || ', southlimit=' || s || ', northlimit=' || n"
+    }),
+)
+def k11_grid(spark, sf):
+    root = scratch_dir(spark)
+    grid, outlines = tables.grid_daily(spark, sf), tables.regions(spark, sf)
+    ingest.ingest(spark, grid, outlines, root, ["pr", "tas"], dt.date(2000, 1, 31), now=_THEN)
+    ingest.ingest(spark, grid, outlines, root, ["pr", "tas"], _end(grid), now=_NOW)
+    stored = ingest.grid_journal(spark, root, ["pr", "tas"]).attributes()
+    return _stored(stored, [*_SPAN, "dcterms:spatial"])
+
+
+@query(
+    "k3_stored_regional_attributes",
+    q.with_(q.GRID, q.XWALK)
+    + """, s AS (SELECT region_set, strftime(min(time), '%Y-%m-%d') AS a, strftime(max(time), '%Y-%m-%d') AS b
+      FROM grid, (SELECT DISTINCT region_set FROM xwalk) GROUP BY 1) """
+    + _fields("s", "'pr/' || region_set", _SPAN),
+)
+def k3_regional(spark, sf):
+    root = scratch_dir(spark)
+    grid, outlines = tables.grid_daily(spark, sf), tables.regions(spark, sf)
+    ingest.ingest(spark, grid, outlines, root, ["pr"], dt.date(2000, 1, 31), now=_THEN)
+    ingest.ingest(spark, grid, outlines, root, ["pr"], _end(grid), now=_NOW)
+    return _stored(ingest.regional_journal(spark, root, ["pr"]).attributes(), _SPAN)
+
+
+_INDEX_ATTRIBUTES = (
+    _COMBINED
+    + ", "
+    + q.XWALK
+    + """, c AS (SELECT * FROM combined, (SELECT DISTINCT region_set FROM xwalk) WHERE index IN ('tx35', 'fd', 'r20mm')),
+      s AS (SELECT index, region_set, strftime(min(time), '%Y-%m-%d') AS a, strftime(max(time), '%Y-%m-%d') AS b,
+        max(period) FILTER (freq = 'MS') AS ms, max(period) FILTER (freq = 'QS-DEC') AS qs, max(period) FILTER (freq = 'YS') AS ys
+        FROM c GROUP BY 1, 2) """
+)
+_POINTS = {
+    f"last_checkpoint_{f}": f"strftime({c}, '%Y-%m-%dT00:00:00')" for f, c in (("MS", "ms"), ("QS-DEC", "qs"), ("YS", "ys"))
+}
+
+
+def _run_twice(spark, sf):
+    """An index store written up to a day, then brought up to the end of the grid."""
+    path, table = scratch_dir(spark), xwalk(spark, sf)
+    grid = tables.grid_daily(spark, sf)
+    early = grid.where(F.col("time") <= "2000-08-31")
+    first = index_run.run(spark, path, early, table, _NAMES, now=_THEN, sources=("era5/tasmax", "era5/pr"), sample=DAILY)
+    second = index_run.run(spark, path, grid, table, _NAMES, now=_NOW, sources=("era5/tasmax", "era5/pr"), sample=DAILY)
+    assert set(first.values()) == {"written"} and set(second.values()) == {"updated"}, (first, second)
+    return path
+
+
+@query(
+    "i4_stored_attributes",
+    _INDEX_ATTRIBUTES
+    + _fields("s", "index || '/' || region_set", {
+        **{k: v for k, v in _SPAN.items() if k != "dc:coverage"}, **_POINTS, "frequencies_used": "'MS, QS-DEC, YS'",
+        "dc:source": "'Copernicus Climate Data Store (https://doi.org/10.24381/cds.4991cf48); Derived from: era5/tasmax; era5/pr'",
+    }),
+)
+def i4_stored(spark, sf):
+    stored = index_run.index_journal(spark, _run_twice(spark, sf)).attributes()
+    return _stored(stored, [*(k for k in _SPAN if k != "dc:coverage"), "frequencies_used", "dc:source"])
+
+
+@query("a25_stored_checkpoints", _INDEX_ATTRIBUTES + _fields("s", "index || '/' || region_set", _POINTS))
+def a25_stored(spark, sf):
+    return _stored(index_run.index_journal(spark, _run_twice(spark, sf)).attributes(), [])
+
+
+@query("i3_index_run", _THREE)
+def i3_run(spark, sf):
+    return spark.read.parquet(_run_twice(spark, sf)).select(
+        "region_set", "region", "index", text("time").alias("time"), "time_filter", r6("value").alias("value")
+    )
+
+
+@query("a34_run_by_stored_attributes", _THREE)
+def a34_run(spark, sf):
+    """An index that no attribute names yet is computed in full, the others are updated."""
+    path, table = scratch_dir(spark), xwalk(spark, sf)
+    grid = tables.grid_daily(spark, sf)
+    index_run.run(spark, path, grid.where(F.col("time") <= "2000-08-31"), table, ("tx35", "fd"), now=_THEN, sample=DAILY)
+    done = index_run.run(spark, path, grid, table, _NAMES, now=_NOW, sample=DAILY)
+    assert done == {"tx35": "updated", "fd": "updated", "r20mm": "written"}, done
+    return spark.read.parquet(path).select(
+        "region_set", "region", "index", text("time").alias("time"), "time_filter", r6("value").alias("value")
+    )
+
+
+@query(
+    "i1_open_commit",
+    q.with_(q.GRID)
+    + """SELECT lat, lon, count(*) AS n, round(sum(pr), 6) AS pr, CAST(max(time) AS VARCHAR) AS last FROM grid
+    GROUP BY 1, 2""",
+)
+def i1_open(spark, sf):
+    """A run that recorded two years, swapped in one of them and broke; the next one completes it."""
+    root = scratch_dir(spark)
+    grid = tables.grid_daily(spark, sf).select("time", *CELL, "pr")
+    about = ingest.grid_journal(spark, root, ["pr"], _THEN)
+    journal.create(about, store.with_year(grid.where(F.year("time") < 2000)))
+    about.begin([2000, 2001])
+    swapped = store.with_year(grid.where(F.year("time") == 2001))
+    swapped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(about.path)
+    incremental.update_grid(spark, about.path, grid, _end(grid), about)
+    return spark.read.parquet(about.path).groupBy(*CELL).agg(
+        F.count("*").alias("n"), r6(F.sum("pr")).alias("pr"), text(F.max("time")).alias("last")
+    )
+
+
+@query(
+    "s8_stored_profile",
+    q.with_(q.GRID)
+    + """, s AS (SELECT strftime(min(time), '%Y-%m-%d') AS a, strftime(max(time), '%Y-%m-%d') AS b FROM grid)
+    SELECT * FROM (VALUES ('*', 'variable', 'pr', 'double'), ('*', 'variable', 'tas', 'double')) AS t(dataset, kind, name, value)
+    UNION ALL SELECT '*', 'coordinate', 'time', CAST(count(DISTINCT time) AS VARCHAR) FROM grid
+    UNION ALL SELECT '*', 'coordinate', 'lat', CAST(count(DISTINCT lat) AS VARCHAR) FROM grid
+    UNION ALL SELECT '*', 'coordinate', 'lon', CAST(count(DISTINCT lon) AS VARCHAR) FROM grid
+    UNION ALL SELECT v, 'attribute', 'dcterms:valid', a || '/' || b FROM s, (VALUES ('pr'), ('tas')) AS t(v)
+    UNION ALL SELECT v, 'attribute', 'dc:language', 'en' FROM s, (VALUES ('pr'), ('tas')) AS t(v)""",
+)
+def s8_stored(spark, sf):
+    root = scratch_dir(spark)
+    grid = tables.grid_daily(spark, sf).select("time", *CELL, "pr", "tas")
+    about = ingest.grid_journal(spark, root, ["pr", "tas"], _NOW, cells=grid)
+    journal.create(about, store.with_year(grid))
+    shown = F.col("name").isin("dcterms:valid", "dc:language") | (F.col("kind") != "attribute")
+    return journal.inspect(about).where(shown)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,15 +142,28 @@ def align_labels(new: DataFrame, labels: DataFrame, dim: str) -> DataFrame:
     return kept.unionByName(absent, allowMissingColumns=True)
 
 
+class Record(Protocol):
+    """Who wants to know which years an update swaps in."""
+
+    def begin(self, years: list[int] | None) -> Any: ...
+
+    def finish(self, commit: Any) -> None: ...
+
+
 def update_store(
-    spark: SparkSession, path: str, new: DataFrame, key: Sequence[str], label_dim: str | None = None
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    key: Sequence[str],
+    label_dim: str | None = None,
+    record: Record | None = None,
 ) -> bool:
     """Upsert into a store partitioned by ``year``; rows in ``new`` win.
 
     Only the years that ``new`` touches are read and rewritten, and each of those is
     swapped as a whole when the job commits, so a rerun gives the same store.
-    ``label_dim`` drops incoming rows whose label the store does not know. Returns
-    whether there was anything to write.
+    ``label_dim`` drops incoming rows whose label the store does not know. ``record`` is
+    told before the swap and after it. Returns whether there was anything to write.
     """
     if not exists(spark, path):
         raise FileNotFoundError(f"store {path} does not exist")
@@ -162,6 +176,7 @@ def update_store(
     if not years:
         return False
     affected = old.where(F.col("year").isin(years))
+    commit = None if record is None else record.begin(years)
     _write(
         upserted(affected, new, key).select(*old.columns),
         path,
@@ -169,6 +184,8 @@ def update_store(
         ["year"],
         partitionOverwriteMode="dynamic",
     )
+    if record is not None:
+        record.finish(commit)
     return True
 
 
