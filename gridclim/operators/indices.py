@@ -257,25 +257,28 @@ def count_indices_wide(
     names: tuple[str, ...] = COUNT_INDICES,
     freqs: tuple[str, ...] = STANDARD_FREQS,
     history: DataFrame | None = None,
+    ever: DataFrame | None = None,
 ) -> DataFrame:
     """``lat, lon, freq, time`` and one column per count index, in one pass.
 
     The daily rows are read and shuffled once, as monthly counts; seasons and years
     are sums of those. A cell is missing if it has no value at any time: in ``grid``,
-    or in ``history`` where ``grid`` is only the newest part of it.
+    or in ``history`` where ``grid`` is only the newest part of it. ``ever`` says so
+    without reading a history, as ``cell`` and ``has_<variable>``.
     """
     variables = tuple(sorted({get_index(n).index.variable for n in names}))
     aggregates = count_expressions(names)
     valid = {f"valid_{v}": F.count(v) for v in variables}
     monthly = resample.resample(grid, MONTHLY, {**aggregates, **valid})
     rolled = resample.roll_up(monthly, freqs, (*aggregates, *valid))
-    if history is None:
+    if history is None and ever is None:
         cell = Window.partitionBy("cell")
         present = {v: F.sum(f"valid_{v}").over(cell) > 0 for v in variables}
         rolled = rolled.withColumns({f"has_{v}": p for v, p in present.items()})
     else:
         cell = axis.cell_id(F.col("lat"), F.col("lon")).alias("cell")
-        ever = history.groupBy(cell).agg(*[(F.count(v) > 0).alias(f"has_{v}") for v in variables])
+        if ever is None:
+            ever = history.groupBy(cell).agg(*[(F.count(v) > 0).alias(f"has_{v}") for v in variables])
         rolled = rolled.join(ever, "cell", "left")
     return rolled.select(
         *CELL,
@@ -309,14 +312,17 @@ def precipitation_shares(
     freqs: tuple[str, ...] = STANDARD_FREQS,
     history: DataFrame | None = None,
     name: str = "r95ptot",
+    q: DataFrame | None = None,
 ) -> DataFrame:
     """``lat, lon, freq, time`` and the share as a column named like the index, in one pass.
 
     Numerator and denominator are additive, so months are rolled up and divided last.
+    ``q`` is the table of percentiles where it is known; else it is made from ``history`` or the grid.
     """
     index = get_index(name).index
-    reference = grid if history is None else history
-    q = percentiles.reference_percentile(reference, index.variable, index.percentile, MONTHLY)
+    if q is None:
+        reference = grid if history is None else history
+        q = percentiles.reference_percentile(reference, index.variable, index.percentile, MONTHLY)
     joined = percentiles.join_doy_percentile(grid, q, index.variable)
     parts = _share_parts(joined, index.variable, float(index.options["wet"]))
     monthly = resample.resample_cells(joined, MONTHLY, parts)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from ..functions import axis, calendar, numeric
 from ..model import STANDARD_FREQS
 from ..operators import canon, completeness
+from ..operators.percentiles import WINDOW
 from ..session import materialise
 from ..sources import metadata, store
 from ..sources.journal import Journal
 from . import derived_index
+from .reference import Reference, months_around
 
 GRID_KEY = ("time", "lat", "lon")
 REGIONAL_KEY = ("region_set", "region", "time")
@@ -119,6 +121,7 @@ def update_index(
     refresh: bool = False,
     journal: Journal | None = None,
     days: DataFrame | None = None,
+    reference: Reference | None = None,
 ) -> bool:
     """Compute the periods that the store lacks and upsert them. False when there are none.
 
@@ -130,7 +133,7 @@ def update_index(
     computes it again, and then the result equals a full run wherever the last update stopped.
 
     With ``days``, the days of the grid as its journal noted them, completeness is judged without
-    reading the grid.
+    reading the grid, and with ``reference``, brought up to the same days, no day of years that are not due is read.
     """
     days = grid if days is None else days
     stored = index_labels(spark.read.parquet(path)) if journal is None else journal.held()
@@ -140,12 +143,22 @@ def update_index(
         return False
     late = {r["index"] for r in due.select("index").distinct().collect()}
     recent = since(grid, min(starts.values()))
-    new = derived_index.regional_indices(
-        recent, xwalk, tuple(n for n in names if n in late), tuple(starts), history=grid, axis_of=days, due=starts
-    )
+    wanted = tuple(n for n in names if n in late)
+    if reference is None:
+        new = derived_index.regional_indices(recent, xwalk, wanted, tuple(starts), history=grid, axis_of=days, due=starts)
+    else:
+        # One day more than a window reaches: stretched percentiles look at the day before.
+        months = reference_months(canon.between_dates(days, min(starts.values()).isoformat(), None))
+        new = derived_index.regional_indices(
+            recent, xwalk, wanted, tuple(starts), axis_of=days, due=starts, reference=reference, months=months
+        )
     freq = calendar.freq_of_filter(F.col("time_filter"))
-    wanted = new.withColumn("freq", freq).join(due, ["region_set", "index", "freq", "period"], "left_semi").drop("freq")
-    return store.update_store(spark, path, wanted, INDEX_KEY, record=journal)
+    kept = new.withColumn("freq", freq).join(due, ["region_set", "index", "freq", "period"], "left_semi").drop("freq")
+    return store.update_store(spark, path, kept, INDEX_KEY, record=journal)
+
+
+def reference_months(days: DataFrame) -> set[int]:
+    return months_around(days, WINDOW + 2)
 
 
 def since(grid: DataFrame, first: dt.date) -> DataFrame:

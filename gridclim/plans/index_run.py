@@ -12,6 +12,7 @@ from ..sources import journal, store
 from ..sources.journal import Journal
 from . import derived_index, describe, incremental
 from .ingest import now_text
+from .reference import Reference
 
 
 def check_sources(grid: DataFrame, names: tuple[str, ...], sample: str | None = None, days: DataFrame | None = None) -> None:
@@ -47,18 +48,21 @@ def run(
     sources: tuple[str, ...] = (),
     sample: str | None = None,
     days: DataFrame | None = None,
+    reference: Reference | None = None,
 ) -> dict[str, str]:
     """Bring the index store at ``path`` up to the grid; says per index what was done.
 
     An index is updated where the attributes of all its region sets are stored and name
     every requested frequency; else it is computed in full. All indices that need
     it share one pass over the daily rows. ``sample`` states the frequency of the grid, ``days`` are the days of the grid where they are known, as
-    from its journal.
+    from its journal. ``reference`` is the state beside the grid; it is brought up to them first.
     """
     check_sources(grid, names, sample, days)
+    if reference is not None:
+        reference.extend(grid, grid.select("time").distinct() if days is None else days)
     about = index_journal(spark, path, now, sources)
     if overwrite or not store.exists(spark, path):
-        full = derived_index.regional_indices(grid, xwalk, names, freqs, axis_of=days)
+        full = derived_index.regional_indices(grid, xwalk, names, freqs, axis_of=days, reference=reference)
         journal.create(about, store.with_year(full))
         return dict.fromkeys(names, "written")
     sets = xwalk.select("region_set").distinct()
@@ -69,11 +73,11 @@ def run(
     done = {}
     whole = tuple(n for n in names if n not in ready)
     if whole:
-        full = materialise(derived_index.regional_indices(grid, xwalk, whole, freqs, axis_of=days))
+        full = materialise(derived_index.regional_indices(grid, xwalk, whole, freqs, axis_of=days, reference=reference))
         store.update_store(spark, path, full, incremental.INDEX_KEY, record=about)
         done |= dict.fromkeys(whole, "written")
     rest = tuple(n for n in names if n in ready)
     if rest:
-        changed = incremental.update_index(spark, path, grid, xwalk, rest, freqs, refresh, about, days)
+        changed = incremental.update_index(spark, path, grid, xwalk, rest, freqs, refresh, about, days, reference)
         done |= dict.fromkeys(rest, "updated" if changed else "current")
     return done

@@ -10,13 +10,13 @@ from .. import CELL
 from ..functions import calendar
 from ..model import DAILY
 from ..operators import regions
-from ..plans import derived_index, incremental, index_run, ingest
+from ..plans import derived_index, incremental, index_run, ingest, reference
 from ..session import scratch_dir
 from ..sources import journal, metadata, store, tables
 from ..streaming import daily
 from . import query
 from . import sql as q
-from .aggregations import _COMBINED, DAILY_SQL
+from .aggregations import _COMBINED, DAILY_SQL, DOY, STRETCH
 from .common import big, r6, text, xwalk
 from .sinks import _META, _map, _meta
 
@@ -418,3 +418,40 @@ def s8_stored(spark, sf):
     journal.create(about, store.with_year(grid))
     shown = F.col("name").isin("dcterms:valid", "dc:language") | (F.col("kind") != "attribute")
     return journal.inspect(about).where(shown)
+
+
+def _with_reference(spark, sf, names, *stops):
+    """Grid, reference state and indices brought up to each day of ``stops`` and then to the end."""
+    root, table = scratch_dir(spark), xwalk(spark, sf)
+    source = tables.grid_daily(spark, sf).select("time", *CELL, "tasmax", "tasmin", "pr")
+    variables = ["tasmax", "tasmin", "pr"]
+    about = ingest.grid_journal(spark, root, variables, _THEN)
+    state = reference.Reference(spark, about.path, names)
+    for stop in (*stops, _end(source)):
+        days = source.where(F.col("time") <= F.lit(stop))
+        if store.exists(spark, about.path):
+            incremental.update_grid(spark, about.path, days, stop, about)
+        else:
+            journal.create(about, store.with_year(days))
+        grid = spark.read.parquet(about.path)
+        index_run.run(spark, f"{root}/indices", grid, table, names, now=_NOW, sample=DAILY, days=about.held(), reference=state)
+    return root, state
+
+
+@query("i3_reference_kept", _THREE)
+def i3_reference(spark, sf):
+    root, _ = _with_reference(spark, sf, _NAMES, dt.date(1999, 3, 31), dt.date(2000, 8, 31))
+    return spark.read.parquet(f"{root}/indices").select(
+        "region_set", "region", "index", text("time").alias("time"), "time_filter", r6("value").alias("value")
+    )
+
+
+@query(
+    "a16_percentile_from_kept_state",
+    q.with_(q.GRID, DOY, STRETCH) + "SELECT lat, lon, CAST(doy AS BIGINT) AS doy, round(q, 6) AS q FROM pct",
+)
+def a16_kept(spark, sf):
+    """Percentiles from state that was extended twice equal those of the whole history."""
+    _, state = _with_reference(spark, sf, ("r95ptot",), dt.date(1999, 3, 31), dt.date(2000, 8, 31))
+    rows = state.percentiles("r95ptot").select(*CELL, F.posexplode_outer("qs").alias("position", "q"))
+    return rows.where(F.col("q").isNotNull()).select(*CELL, big(F.col("position") + 1).alias("doy"), r6("q").alias("q"))

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from .. import CELL
 from ..functions import axis, ordered
 from ..model import MONTHLY
-from ..operators import combine, compare, indices, quality, regions, resample, temporal
+from ..operators import combine, compare, indices, percentiles, quality, regions, resample, temporal
 from ..sources import catalog, store, tables
 from . import query
 from . import sql as q
-from .common import cells, flag, r6, text
+from .common import big, cells, flag, r6, text
 from .joins import _VERSIONS, versions
 
 
@@ -38,13 +38,10 @@ def w1(spark, sf):
     FROM s, b WHERE day BETWEEN t0 AND t1 GROUP BY 1, 2, 3""",
 )
 def w2(spark, sf):
-    grid = tables.grid_daily(spark, sf)
-    low, high = axis.scalar(grid, F.min("time")), axis.scalar(grid, F.max("time"))
-    days = F.explode(F.sequence(F.date_add("time", -2), F.date_add("time", 3))).alias("day")
-    spread = grid.repartition(*CELL).select(*CELL, "pr", days).where(F.col("day").between(low, high))
-    return spread.groupBy(*CELL, F.dayofyear("day").cast("bigint").alias("doy")).agg(
-        F.count("*").alias("n"), r6(F.sum("pr")).alias("total")
-    )
+    held = percentiles.day_windows(tables.grid_daily(spark, sf), "pr")
+    rows = held.select(*CELL, F.posexplode_outer("windows").alias("position", "vs")).where(F.size("vs") > 0)
+    total = F.aggregate("vs", F.lit(0.0), lambda a, v: a + v)
+    return rows.select(*CELL, big(F.col("position") + 1).alias("doy"), big(F.size("vs")).alias("n"), r6(total).alias("total"))
 
 
 @query(

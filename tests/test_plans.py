@@ -48,10 +48,28 @@ def test_percentile_index_exchanges_each_side_once(spark, stored, no_broadcast):
     assert "BroadcastExchange" not in body
 
 
-def test_spread_days_are_not_shuffled(spark, stored):
+def test_windows_are_merged_inside_the_cell(spark, stored):
     text = plan(percentiles.day_of_year_table(spark.read.parquet(stored), "pr", 95))
     assert len(re.findall(r"Exchange hashpartitioning\(cell", text)) == 1
-    assert "Exchange hashpartitioning(cell" in text.split("Generate explode")[-1]
+    assert not re.findall(r"Exchange hashpartitioning\((?!cell)", text)
+
+
+def test_rows_are_not_multiplied(spark):
+    """Sixteen years of one cell: values away from a year's turn stay one row each."""
+    day = F.date_add(F.lit("1992-01-01").cast("date"), F.col("id").cast("int"))
+    grid = spark.range(5844).select(day.alias("time"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"), F.col("id").cast("double").alias("pr"))
+    held = percentiles.day_values(grid, "pr", percentiles.served_by_all(grid))
+    sizes = held.agg(F.sum(F.size("own")), F.sum(F.size("single"))).first()
+    assert sizes[0] == 16 * 360 - 2 + 2 and sizes[1] < 16 * 6 * 6
+    windows = percentiles.day_windows(grid, "pr").select(F.posexplode_outer("windows").alias("p", "vs")).collect()
+    first = dt.date(1992, 1, 1)
+    for p in (0, 1, 2, 58, 59, 60, 180, 362, 363, 364, 365):
+        want = []
+        for n in range(5844):
+            d = first + dt.timedelta(days=n)
+            if d.timetuple().tm_yday == p + 1:
+                want += [float(m) for m in range(n - 3, n + 3) if 0 <= m < 5844]
+        assert windows[p].vs == sorted(want), p
 
 
 def test_count_indices_read_daily_rows_once(spark, stored):
