@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import CELL
-from ..functions import axis
+from ..functions import axis, special
 
 
 def axis_sizes(df: DataFrame, dims: tuple[str, ...] = ("time", "lat", "lon")) -> list[Column]:
@@ -125,9 +125,11 @@ def series_summary(df: DataFrame, variable: str, keys: tuple[str, ...] = CELL) -
 
 
 def linear_trend(df: DataFrame, variable: str, keys: tuple[str, ...] = CELL) -> DataFrame:
-    """Slope per year of 365.25 days, intercept at the first present value, correlation.
+    """Slope per year of 365.25 days, intercept at the first present value, correlation,
+    two-sided p-value of a slope of zero, and the slope's standard error.
 
-    Missing unless more than two values are present.
+    Missing unless more than two values are present; without any variation the
+    correlation and its p-value are missing.
     """
     value = F.col(variable)
     years = F.when(value.isNotNull(), F.datediff("time", F.lit("1970-01-01")) / 365.25)
@@ -136,15 +138,23 @@ def linear_trend(df: DataFrame, variable: str, keys: tuple[str, ...] = CELL) ->
         F.regr_slope(value, F.col("_x")).alias("slope"),
         F.regr_intercept(value, F.col("_x")).alias("at_zero"),
         F.min("_x").alias("x0"),
-        F.corr(value, F.col("_x")).alias("r"),
+        F.regr_sxx(value, F.col("_x")).alias("sxx"),
+        F.regr_syy(value, F.col("_x")).alias("syy"),
+        F.regr_sxy(value, F.col("_x")).alias("sxy"),
     )
     enough = F.col("n") > 2
+    left = F.greatest(F.col("syy") - F.col("slope") * F.col("sxy"), F.lit(0.0))
+    r = F.try_divide("sxy", F.sqrt(F.col("sxx") * F.col("syy")))  # missing where either does not vary
+    fit = fit.withColumn("r", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(r, F.lit(1.0)))))
+    p_value = special.correlation_p_value(F.col("r"), F.col("n"))
     return fit.select(
         *keys,
         "n",
         F.when(enough, F.col("slope")).alias("slope"),
         F.when(enough, F.col("at_zero") + F.col("slope") * F.col("x0")).alias("intercept"),
         F.when(enough, F.col("r")).alias("r"),
+        F.when(enough & F.col("r").isNotNull(), p_value).alias("p_value"),
+        F.when(enough, F.sqrt(F.try_divide(left, F.col("sxx") * (F.col("n") - 2)))).alias("std_err"),
     )
 
 

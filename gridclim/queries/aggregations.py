@@ -625,6 +625,29 @@ def a31(spark, sf):
     return out.select(*CELL, "n", *[r6(c).alias(c) for c in ("slope", "intercept", "r")])
 
 
+# Student's t with whole degrees of freedom as a finite series, another way than the engine's.
+_P_SERIES = """CASE WHEN nu % 2 = 0 THEN abs(r) * list_sum(list_transform(range(0, nu // 2), lambda k:
+      exp(coalesce(list_sum(list_transform(range(1, k + 1), lambda j: ln((2 * j - 1) / (2.0 * j)))), 0) + k * ln(1 - r * r))))
+    ELSE 2 / pi() * (asin(abs(r)) + abs(r) * sqrt(1 - r * r) * coalesce(list_sum(list_transform(range(0, (nu - 1) // 2), lambda k:
+      exp(coalesce(list_sum(list_transform(range(1, k + 1), lambda j: ln(2.0 * j / (2 * j + 1)))), 0) + k * ln(1 - r * r)))), 0)) END"""
+
+
+@query(
+    "a31_trend_significance",
+    q.with_(q.GRID)
+    + f""", m AS (SELECT lat, lon, {q.month()} AS time, avg(tas) AS v FROM grid GROUP BY 1, 2, 3),
+    x AS (SELECT lat, lon, v, (time - min(time) OVER (PARTITION BY lat, lon)) / CAST(365.25 AS DOUBLE) AS x FROM m),
+    f AS (SELECT lat, lon, count(*) AS n, count(*) - 2 AS nu, corr(v, x) AS r,
+      sqrt(greatest(regr_syy(v, x) - regr_slope(v, x) * regr_sxy(v, x), 0) / regr_sxx(v, x) / (count(*) - 2)) AS se
+      FROM x GROUP BY 1, 2 HAVING count(*) > 2)
+    SELECT lat, lon, n, round(1 - {_P_SERIES}, 6) AS p_value, round(se, 6) AS std_err FROM f""",
+)
+def a31_significance(spark, sf):
+    monthly = resample.resample(tables.grid_daily(spark, sf), MONTHLY, {"v": F.avg("tas")})
+    out = quality.linear_trend(monthly, "v").where(F.col("n") > 2)
+    return out.select(*CELL, "n", r6("p_value").alias("p_value"), r6("std_err").alias("std_err"))
+
+
 @query(
     "a32_decade_distribution",
     q.with_(q.GRID)
