@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import CELL
@@ -34,31 +34,62 @@ def cells_of(grid: DataFrame) -> DataFrame:
 def cells_inside(cells: DataFrame, regions: DataFrame, tile: float = 1.0) -> DataFrame:
     """``region_set, region, lat, lon`` for every cell centre inside a region.
 
-    Both sides are cut into square tiles and meet by equality on the tile, then box
-    and outline are tested. A tile holds a bounded number of cells, so there is
+    The map is cut into square tiles, and cells meet regions by equality on the tile. In a tile
+    that no edge comes near, all cells lie inside or none does, so they are not tested. The
+    others are tested against the edges that meet their row of tiles: an outline is kept once
+    in all, cut by rows, whatever number of tiles its box has. A tile holds a bounded number of cells, so there is
     neither a nested loop nor a hot key.
     """
-    shapes = regions.select(
-        *REGION, geometry.edges(F.col("rings")).alias("edges"), geometry.bounds(F.col("rings")).alias("box")
+    edges, tiles = outline_edges(regions), outline_tiles(regions, tile)
+    rows = row_edges(edges, tile)
+    lon, lat = F.col("lon"), F.col("lat")
+    placed = cells.select(*CELL, _tile(lon, tile).alias("tx"), _tile(lat, tile).alias("ty"))
+    near = placed.join(tiles, ["tx", "ty"])
+    whole = near.where("NOT touched").select(*REGION, *CELL)
+    tested = near.where("touched").join(rows, [*REGION, "ty"]).where(geometry.inside(F.col("edges"), lon, lat))
+    return whole.unionByName(tested.select(*REGION, *CELL))
+
+
+def outline_edges(regions: DataFrame) -> DataFrame:
+    """``region_set, region, x1, y1, x2, y2``: one row per edge."""
+    return regions.select(*REGION, F.inline(geometry.edges(F.col("rings"))))
+
+
+def _span(a: str, b: str, tile: float) -> Column:
+    """Tiles that an edge's ends and all between them lie in."""
+    return F.explode(F.sequence(_tile(F.least(a, b), tile), _tile(F.greatest(a, b), tile)))
+
+
+def row_edges(edges: DataFrame, tile: float) -> DataFrame:
+    """``region_set, region, ty, edges``: the edges whose span meets a row of tiles."""
+    return (
+        edges.withColumn("ty", _span("y1", "y2", tile))
+        .groupBy(*REGION, "ty")
+        .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
     )
 
-    def tiles(low: str, high: str):
-        return F.explode(F.sequence(_tile(F.col(low), tile), _tile(F.col(high), tile)))
 
-    tiled = shapes.select("*", tiles("box.x0", "box.x1").alias("tx")).select(
-        "*", tiles("box.y0", "box.y1").alias("ty")
+def outline_tiles(regions: DataFrame, tile: float) -> DataFrame:
+    """``region_set, region, tx, ty, touched``: tiles with an edge near, and tiles wholly inside."""
+    edges = outline_edges(regions)
+    touched = (
+        edges.withColumn("tx", _span("x1", "x2", tile)).withColumn("ty", _span("y1", "y2", tile)).select(*REGION, "tx", "ty").distinct()
     )
-    placed = cells.select(
-        *CELL, _tile(F.col("lon"), tile).alias("tx"), _tile(F.col("lat"), tile).alias("ty")
+    box = geometry.bounds(F.col("rings"))
+    every = (
+        regions.select(*REGION, box.alias("b"))
+        .select(*REGION, F.explode(F.sequence(_tile(F.col("b.x0"), tile), _tile(F.col("b.x1"), tile))).alias("tx"), "b")
+        .select(*REGION, "tx", F.explode(F.sequence(_tile(F.col("b.y0"), tile), _tile(F.col("b.y1"), tile))).alias("ty"))
     )
-    lon, lat = F.col("lon"), F.col("lat")
-    return (
-        placed.join(tiled, ["tx", "ty"])
-        .where(lon.between(F.col("box.x0"), F.col("box.x1")))
-        .where(lat.between(F.col("box.y0"), F.col("box.y1")))
-        .where(geometry.inside(F.col("edges"), lon, lat))
-        .select(*REGION, *CELL)
+    key = [*REGION, "tx", "ty"]
+    centre = [(F.col(c) + 0.5) * tile for c in ("tx", "ty")]
+    inner = (
+        every.join(touched, key, "left_anti")
+        .join(row_edges(edges, tile), [*REGION, "ty"])
+        .where(geometry.inside(F.col("edges"), *centre))
+        .select(*key)
     )
+    return touched.withColumn("touched", F.lit(True)).unionByName(inner.withColumn("touched", F.lit(False)))
 
 
 def _tile(value, tile: float):
