@@ -5,14 +5,13 @@ Spark adds the vectors up, and the resulting matrix of log probabilities (langua
 ``2 ** bits``, whatever the size of the corpus) is broadcast. Scoring turns a text into
 its n-gram counts and multiplies.
 
-Defined cases: a NULL text or one without letters is ``und`` with score 0; so is every
+Defined cases: a NULL text or one without letters (``½`` and ``²`` are none) is ``und`` with score 0; so is every
 text if nothing could be learned. Languages with equal scores go by name. Rows without
 an identifier are scored but not learned from. Repeated rows count as often as they come.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 from .common import share
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 # Odd multipliers of the rolling hash, one per place in an n-gram.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 # A start value per n-gram length, so that lengths do not share buckets by construction.
@@ -59,7 +57,7 @@ class Model:
     bits: int
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or text is None or not LETTER.search(text):
+        if not self.languages or text is None or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         counts = gram_counts(text, self.bits)
         total = self.priors + self.weights @ counts

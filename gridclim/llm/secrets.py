@@ -29,8 +29,8 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"  # a whole run of 32 or more, as runs are taken greedily
-# A whole run of token characters with a digit in it, for the models to judge.
-TOKEN = r"(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
+# A whole run of token characters, taken in one step; those with a digit and a letter are for the models to judge.
+TOKEN = r"[A-Za-z0-9+/_=-]{16,}+"
 IDENTIFIER = r"[A-Za-z_-]{4,}"
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
@@ -106,13 +106,14 @@ class Models:
 
     def mean_ratio(self, token: Column) -> Column:
         table = F.split(F.lit(" ".join(map(str, self.ratios))), " ").cast("array<double>")  # folded once
-        place = lambda i: F.position(F.substring(token, i, F.lit(1)), F.lit(ALPHABET)) - 1
-        total = F.aggregate(
-            F.sequence(F.lit(1), F.char_length(token) - 1),
-            F.lit(0.0),
-            lambda a, i: a + F.get(table, place(i) * SIZE + place(i + 1)),
-        )
-        return total / (F.char_length(token) - 1)
+        # Characters first, so that no step has to walk through the token again.
+        places = F.transform(F.split(token, ""), lambda c: F.position(c, F.lit(ALPHABET)) - 1)
+
+        def total(p: Column) -> Column:
+            pairs = F.zip_with(F.slice(p, F.lit(1), F.size(p) - 1), F.slice(p, F.lit(2), F.size(p) - 1), lambda a, b: F.get(table, a * SIZE + b))
+            return F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x)
+
+        return let(places, total) / (F.char_length(token) - 1)
 
 
 def train(samples: DataFrame, *, text_col: str = "token", label_col: str = "random", smoothing: float = 0.5) -> Models:
@@ -175,7 +176,7 @@ def scan(docs: DataFrame, models: Models, *, text_col: str = "text", threshold:
     text = whole(text_col)
     base = base_spans(text)
     named = docs.withColumns(base)
-    token = lambda m: F.regexp_like(m, F.lit("[A-Za-z]")) & (models.mean_ratio(m) > threshold)
+    token = lambda m: F.regexp_like(m, F.lit("[0-9]")) & F.regexp_like(m, F.lit("[A-Za-z]")) & (models.mean_ratio(m) > threshold)
     maybe = _spans(text, TOKEN, 3, "markov", token, F.regexp_like(text, F.lit(TOKEN)))
     listed = F.concat("assign", "access", "hex")
     return (

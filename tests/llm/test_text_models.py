@@ -101,3 +101,32 @@ def test_running_sums(spark, n):
     values = [(i * 7) % 11 for i in range(n)]
     df = spark.createDataFrame([(values,)], "v array<int>")
     assert df.select(secrets.running_sums(df.v)).first()[0] == list(accumulate(values))
+
+
+def test_signs_that_are_no_letters(spark, docs):
+    model = language.train(docs)
+    rows = [(1, "½ ² ①"), (2, "12 34"), (3, "½ und a")]
+    got = {r.doc_id: r.lang_pred for r in language.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got[1] == got[2] == "und" and got[3] != "und"
+
+
+def test_secrets_in_long_runs(spark, docs):
+    """Runs of a million characters, with digits and without, take one step each."""
+    blob = "Q7x9Zk2LmP0vR4tY8wB3" * 50_000
+    rows = [(1, "a" * 1_000_000), (2, blob), (3, "-" * 300_000 + " 1"), (4, "abcdefghijklmnopqrst " + "Q7x9Zk2LmP0vR4tY8wB3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.scan(df, secrets.train(secrets.samples(docs)), threshold=-100.0)  # whatever the models say
+    got = {r.doc_id: [(s.start, s.end) for s in r.markov] for r in found.select("doc_id", "markov").collect()}
+    assert got[1] == got[3] == [] and got[2] == [(0, len(blob))] and got[4] == [(21, 41)]
+
+
+def test_ratio_of_pairs(spark, docs):
+    model = secrets.train(secrets.samples(docs))
+    tokens = ["Q7x9Zk2LmP0vR4tY8wB3", "configuration_value2", "aaaaaaaaaaaaaaa1", "=/+-_.=/+-_.=/1A"]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    from pyspark.sql import functions as F
+
+    at = secrets.ALPHABET.index
+    for r in df.select("t", model.mean_ratio(F.col("t")).alias("m")).collect():
+        plain = [model.ratios[at(a) * secrets.SIZE + at(b)] for a, b in zip(r.t, r.t[1:])]
+        assert r.m == pytest.approx(sum(plain) / len(plain))
