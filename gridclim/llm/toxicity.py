@@ -1,15 +1,19 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on toxic and one on ordinary text. Both start
-with what the classes share; what tells them apart is trained on those fragments of each
-class that the shared part compresses worst. A window of text that shares more with toxic
-text compresses better with the toxic dictionary. The windows' differences in compressed
-length are summed up per text in a few figures, and a logistic curve, calibrated on labelled
-texts kept out of the dictionaries, turns these into the probability of the label.
+with what ordinary text holds most; each goes on with the words that set its class apart, by
+the number of documents that hold them. A window of text that shares more with toxic text
+compresses better with the toxic dictionary. Windows are runs of whole words. Their
+differences in compressed length are summed up per text in a few figures, and a logistic
+curve, calibrated on labelled texts kept out of the dictionaries, turns these into a score
+between 0 and 1. It is placed so that ``clean_loss`` of the ordinary calibration texts reach 0.5.
+How surely a word has to belong to a class, and how long a window is, is chosen on the calibration
+texts too, by curves fitted on one half of them and tried on the other.
 
 Dictionaries and calibration learn from a bounded sample of labelled rows, ``sample_rows``
 of each class, those with the smallest hash of their identifier; ``sample_bytes`` bounds
-the text they may hold together. Scoring covers all rows and whole texts.
+the text they may hold together, and a text that no longer fits is passed over. Scoring covers
+all rows and whole texts.
 
 Defined cases: NULL and empty texts get the calibrated score of a text without windows.
 Without labelled rows of both classes every score is 0. A row with several labels counts
@@ -18,6 +22,8 @@ as toxic if one of them says so. Rows that repeat are scored alike.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,16 +35,26 @@ from pyspark.sql import functions as F
 
 from .common import share, whole
 
-FEATURES = 6
+STEPS = (1, 2, 3, 4, 6)  # bytes saved, counted per text
+FEATURES = 4 + len(STEPS)
+NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def words(text: str) -> list[str]:
+    return NO_LETTERS.sub(" ", text.lower()).split()
 
 
 def windows(text: str, size: int) -> list[bytes]:
-    """The text's lower-case bytes in windows that overlap by half."""
-    data = text.lower().encode("utf-8", "surrogatepass")
-    if len(data) <= size:
-        return [data] if data else []
-    step = size // 2
-    return [data[i : i + size] for i in range(0, len(data) - step, step)]
+    """The text's lower-case words in runs of ``size`` bytes or little more; a long word is cut."""
+    data = f" {' '.join(words(text))} ".encode("utf-8", "surrogatepass")
+    found, start, last = [], 0, len(data) - 1
+    while start < last - 1:
+        stop = min(start + size, last)
+        space = data.find(b" ", stop, start + 4 * size)
+        stop = space if space >= 0 else stop
+        found.append(data[start : stop + 1])
+        start = stop
+    return found
 
 
 class Compressors:
@@ -66,10 +82,8 @@ def features(gains: np.ndarray) -> np.ndarray:
         return np.zeros(FEATURES)
     top = np.sort(gains)[::-1]
     return np.array(
-        [
-            gains.mean(), top[0], top[:5].sum() / 5, top[: max(1, len(top) // 10)].mean(),
-            (gains >= 4).sum() / np.sqrt(len(gains)), (gains >= 6).sum(),
-        ]
+        [gains.mean(), top[0], top[:5].sum() / 5, top[: max(1, len(top) // 10)].mean()]
+        + [np.log1p((gains >= k).sum()) for k in STEPS]
     )
 
 
@@ -112,19 +126,58 @@ def sample(
     return texts.join(F.broadcast(chosen), "_id").select(F.col("_id").alias("id"), "text", "toxic")
 
 
-def _dictionary(pieces: list[bytes], size: int, **options: int) -> bytes:
+def _dictionary(pieces: list[bytes], size: int) -> bytes:
     if len(pieces) < 16:
         return b"".join(pieces)[:size]
     try:
-        return zstandard.train_dictionary(size, pieces, **options).as_bytes()
+        return zstandard.train_dictionary(size, pieces).as_bytes()
     except zstandard.ZstdError:  # too little or too uniform text to choose from
         return b"".join(pieces)[:size]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
-    """Weights by Newton's method; the classes weigh as ``share``, the positive one's, says."""
+def _holders(texts: list[tuple[str, int]], label: int) -> tuple[Counter[str], int]:
+    """In how many texts of a class each word occurs, and how many texts there are."""
+    held: Counter[str] = Counter()
+    chosen = [t for t, y in texts if y == label]
+    for t in chosen:
+        held.update({w for w in words(t) if len(w) >= 4})
+    return held, max(1, len(chosen))
+
+
+def contrasting(
+    own: tuple[Counter[str], int], other: tuple[Counter[str], int], *, least: float, ratio: float, size: int
+) -> bytes:
+    """Words of a class that set it apart, the surest last, where matches cost least.
+
+    They are in at least four of its texts and ``ratio`` times as often as in the other class.
+    The rank is the likelihood ratio against being spread evenly, which has to be ``least``.
+    First letters lie at multiples of three: dictionaries of this strategy are indexed there.
+    """
+    (held, n), (elsewhere, m) = own, other
+    ranked = []
+    for word, count in held.items():
+        rest = elsewhere[word]
+        if count < 4 or count / n < ratio * rest / m:
+            continue
+        expected = (count + rest) * n / (n + m)
+        surprise = count * np.log(count / expected) + (rest * np.log(rest / (count + rest - expected)) if rest else 0.0)
+        if 2 * surprise >= least:
+            ranked.append((surprise, word))
+    found: list[bytes] = []
+    for _, word in sorted(ranked, reverse=True):
+        piece = b"  " + f" {word} ".encode("utf-8", "surrogatepass")  # three blanks first
+        piece += b" " * (-len(piece) % 3)
+        size -= len(piece)
+        if size < 0:
+            break
+        found.append(piece)
+    return b"".join(reversed(found))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights by Newton's method, the constant last; both classes weigh the same."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    each = np.where(y == 1, share / (y == 1).mean(), (1 - share) / (y == 0).mean())
+    each = np.where(y == 1, 0.5 / (y == 1).mean(), 0.5 / (y == 0).mean())
     w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -135,43 +188,66 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
     return w
 
 
+def _caught(x: np.ndarray, y: np.ndarray, clean_loss: float) -> float:
+    """Share of toxic rows beyond all but ``clean_loss`` of the ordinary ones, by curves of the other half."""
+    total = 0.0
+    for part in (0, 1):
+        fold = np.arange(len(y)) % 2 == part
+        if len(set(y[fold])) < 2 or len(set(y[~fold])) < 2:
+            return 0.0
+        w = _logistic(x[~fold], y[~fold])
+        s, truth = x[fold] @ w[:-1], y[fold]
+        total += float((s[truth == 1] > np.quantile(s[truth == 0], 1 - clean_loss)).mean())
+    return total / 2
+
+
+def _border(s: np.ndarray, y: np.ndarray, clean_loss: float) -> float:
+    """A place that all but ``clean_loss`` of the ordinary rows lie below, halfway to the next row."""
+    clean = np.sort(s[y == 0])[::-1]
+    below = clean[min(len(clean) - 1, int(clean_loss * len(clean)))]
+    above = s[s > below]
+    return float((below + above.min()) / 2 if len(above) else below + 1)
+
+
 def fit(
     texts: list[tuple[str, int]],
-    share: float,
     *,
-    size: int = 64,
-    fragment: int = 16,
+    sizes: tuple[int, ...] = (16, 20),
+    least: tuple[float, ...] = (8, 20, 40),
+    ratio: float = 8,
     shared: int = 65536,
-    own: int = 1536,
-    hardest: float = 0.2,
+    own: int = 4096,
     level: int = 3,
+    clean_loss: float = 0.03,
+    every: int = 4,
 ) -> Model:
-    """Train on (text, toxic) pairs: dictionaries on two thirds, calibration on one third.
-
-    ``share`` is the part of toxic rows among all labelled ones, which the pairs need not keep.
-    """
-    learn = [x for i, x in enumerate(texts) if i % 3]
-    keep = [x for i, x in enumerate(texts) if not i % 3]
+    """Train on (text, toxic) pairs: calibration on each ``every``th one, dictionaries on the others."""
+    learn = [x for i, x in enumerate(texts) if i % every]
+    keep = [x for i, x in enumerate(texts) if not i % every]
     common = _dictionary([w for t, y in learn if y == 0 for w in windows(t, 256)[::2]], shared)
-    plain = Compressors(common, b"", level).pair[0]
-
-    def special(label: int) -> bytes:
-        hard: list[bytes] = []
-        for t, y in learn:
-            if y == label:
-                pieces = sorted(windows(t, fragment), key=lambda w: -len(plain.compress(w)))
-                hard += pieces[: max(1, int(len(pieces) * hardest))]
-        return _dictionary(hard, own, k=fragment, d=6, level=level)
-
-    toxic, ordinary = common + special(1), common + special(0)
-    blank = Model(toxic, ordinary, size, level, np.zeros(FEATURES), np.ones(FEATURES), np.append(np.zeros(FEATURES), -50.0))
+    common += b" " * (-len(common) % 3)
+    held = [_holders(learn, label) for label in (0, 1)]
     y = np.array([y for _, y in keep], dtype=float)
+    zero = np.zeros(FEATURES)
     if not len(y) or y.min() == y.max():
-        return blank
-    tools = blank.compressors()
-    x = np.array([features(tools.gains(t, size)) for t, _ in keep])
-    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    return Model(toxic, ordinary, size, level, centre, scale, _logistic((x - centre) / scale, y, share))
+        return Model(common, common, sizes[0], level, zero, zero + 1, np.append(zero, -50.0))
+    best, chosen = -1.0, None
+    for part in least:
+        toxic, ordinary = (
+            common + contrasting(held[k], held[1 - k], least=part, ratio=ratio, size=own) for k in (1, 0)
+        )
+        tools = Compressors(toxic, ordinary, level)
+        for size in sizes:
+            x = np.array([features(tools.gains(t, size)) for t, _ in keep])
+            centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+            x = (x - centre) / scale
+            caught = _caught(x, y, clean_loss)
+            if caught > best:
+                best, chosen = caught, (toxic, ordinary, size, centre, scale, x)
+    toxic, ordinary, size, centre, scale, x = chosen
+    weights = _logistic(x, y)
+    weights[-1] = -_border(x @ weights[:-1], y, clean_loss)
+    return Model(toxic, ordinary, size, level, centre, scale, weights)
 
 
 def train(
@@ -187,16 +263,15 @@ def train(
 ) -> Model:
     """Fit on the bounded sample, which is all that reaches the driver."""
     rows = sample(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, sample_rows=sample_rows)
-    # Whole texts in hash order as long as they fit.
-    rows = rows.withColumn("_h", F.xxhash64("id", "text"))
+    # Whole texts in hash order, those that fit.
+    rows = rows.withColumn("_h", F.xxhash64("id", "text")).where(F.octet_length("text") <= sample_bytes)
     kept, room = [], sample_bytes
     for r in rows.orderBy("_h", "id").toLocalIterator():
-        room -= len(r["text"].encode("utf-8", "surrogatepass"))
-        if room < 0:
-            break
-        kept.append((r["text"], int(r["toxic"])))
-    every, toxic = _rated(labels, id_col, label_col).agg(F.count(F.lit(1)), F.count_if(F.col("toxic") == 1)).first()
-    return fit(kept, toxic / every if every else 0.5, **options)
+        size = len(r["text"].encode("utf-8", "surrogatepass"))
+        if size <= room:
+            room -= size
+            kept.append((r["text"], int(r["toxic"])))
+    return fit(kept, **options)
 
 
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import pytest
+import zstandard
 from gridclim.llm import language, queries, secrets, toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -50,6 +51,67 @@ def test_toxicity_edges(spark, edges, nothing):
     assert kept.columns == edges.columns and kept.where("doc_id = 1").count() == 1
 
 
+def test_toxicity_catches_most_beyond_english(spark):
+    """Three of four held-out toxic rows, and three of five of those that are not English."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    langs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    rows = queries.op7_toxicity(spark, sf).join(labels, "doc_id").join(langs, "doc_id").where("held_out").collect()
+    toxic = [r for r in rows if r.toxic == 1]
+    others = [r for r in toxic if r.lang != "en"]
+    assert sum(r.predicted for r in toxic) >= 0.75 * len(toxic)
+    assert sum(r.predicted for r in others) >= 0.6 * len(others)
+
+
+def test_windows_hold_every_word_once():
+    texts = ["", " .,;", "a", "One, two -- three; four five six seven eight", "wörd " * 40, "x" * 500, "ab " + "y" * 90 + " cd"]
+    for text in texts:
+        for size in (8, 16, 64):
+            got = toxicity.windows(text, size)
+            joined = b"".join(w if i == 0 else w[1:] for i, w in enumerate(got))
+            assert joined.decode().split() == toxicity.words(text)
+            assert all(len(w) <= 5 * size + 1 for w in got)
+
+
+def test_gains_are_differences_of_compressed_lengths():
+    toxic, ordinary = b" nasty grumbling rotten " * 3, b" pleasant morning garden " * 3
+    tools = toxicity.Compressors(toxic, ordinary, 3)
+    text = "A pleasant morning, nasty and rotten: grumbling in the garden"
+
+    def length(piece, dictionary):
+        held = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        options = dict(level=3, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(zstandard.ZstdCompressor(**options).compress(piece))
+
+    want = [length(w, ordinary) - length(w, toxic) for w in toxicity.windows(text, 16)]
+    assert list(tools.gains(text, 16)) == want and max(want) > 0 > min(want)
+
+
+def test_contrasting_words_are_counted_by_texts():
+    texts = [("stale bread stale bread", 1)] * 5 + [("stale moon", 1)] * 5 + [("fresh bread", 0)] * 10
+    held = [toxicity._holders(texts, y) for y in (0, 1)]
+    assert held[1][0] == {"stale": 10, "bread": 5, "moon": 5} and held[1][1] == 10
+
+    def pick(**options):
+        found = toxicity.contrasting(held[1], held[0], **{"least": 1, "ratio": 8, "size": 99} | options)
+        assert all(m.start() % 3 == 0 for m in re.finditer(rb"\w+", found))
+        return found.split()
+
+    assert pick() == [b"moon", b"stale"] and pick(size=9) == [b"stale"]
+    # Spread evenly, ten texts with a word would be five and five: twice ten times log 2.
+    assert pick(least=13.8) == [b"stale"] and pick(least=13.9) == []
+    assert toxicity.contrasting(held[0], held[1], least=0.1, ratio=1.5, size=99).split() == [b"bread", b"fresh"]
+
+
+def test_a_text_that_does_not_fit_is_passed_over(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda kept, **_: seen.extend(kept))
+    docs = spark.createDataFrame([(i, "z" * (5000 if i % 7 == 3 else 20)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    toxicity.train(docs, labels, sample_bytes=1000)
+    assert len(seen) == 34 and {y for _, y in seen} == {0, 1}
+
+
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
