@@ -146,6 +146,7 @@ def aggregate_regions(
     variables: list[str],
     keys: tuple[str, ...] = ("time",),
     scattered: bool = False,
+    tile: float | None = None,
 ) -> DataFrame:
     """Area-weighted mean per region; one job for all region sets.
 
@@ -158,10 +159,40 @@ def aggregate_regions(
     * For ``scattered`` rows, as they come out of another exchange, cell rows are
       partitioned by ``keys`` first. The joined rows are then never exchanged. A key
       has at most one row per cell, so none is hot.
+    * With a crosswalk beyond the broadcast limit, ``tile`` deals both sides by square map
+      tiles of that size, so that neither join nor first sums move a joined row. The planner
+      keeps that partitioning where ``spark.sql.requireAllClusterKeysForCoPartition`` is
+      false; elsewhere it partitions by cell and moves first sums too, with equal results.
     """
+    if tile is not None:
+        return _by_tiles(grid, xwalk, variables, keys, tile)
     if scattered:
         grid = grid.repartition(*keys)
     joined = grid.join(xwalk.select(*REGION, *CELL, "w"), list(CELL))
     return joined.groupBy(*REGION, *keys).agg(
         *[numeric.weighted_mean(F.col(v), F.col("w")).alias(v) for v in variables]
     )
+
+
+def _by_tiles(grid: DataFrame, xwalk: DataFrame, variables: list[str], keys: tuple[str, ...], tile: float) -> DataFrame:
+    """Weighted sums per tile, region and ``keys``, then their sums over tiles.
+
+    Cells and crosswalk share one partitioning by tile. What is exchanged after the join is
+    one row of sums per tile, region and key. A tile holds a bounded number of cells, each with
+    one row per key, so a tile is no larger than the calendar times its cells.
+    """
+    place = {"tx": _tile(F.col("lon"), tile), "ty": _tile(F.col("lat"), tile)}
+    cells = grid.select(*keys, *CELL, *variables).withColumns(place).repartition(*place)
+    weights = xwalk.select(*REGION, *CELL, "w").withColumns(place).repartition(*place)
+    sums = [
+        s
+        for i, v in enumerate(variables)
+        for s in (
+            F.sum(F.col(v) * F.col("w")).alias(f"_s{i}"),
+            F.sum(F.when(F.col(v).isNotNull(), F.col("w"))).alias(f"_w{i}"),
+        )
+    ]
+    partial = cells.join(weights, [*place, *CELL]).groupBy(*place, *REGION, *keys).agg(*sums)
+    return partial.groupBy(*REGION, *keys).agg(
+        *[F.try_divide(F.sum(f"_s{i}"), F.sum(f"_w{i}")).alias(v) for i, v in enumerate(variables)]
+    )

@@ -9,7 +9,7 @@ from ..model import MONTHLY, SEASONAL, PercentileSpec
 from ..operators import combine, compare, completeness, indices, percentiles, regions, resample
 from ..plans import incremental
 from ..sources import manifest, naming, store, tables
-from . import query
+from . import SQL, query
 from . import sql as q
 from .common import cells, flag, r6, text, xwalk
 
@@ -38,6 +38,16 @@ def j2(spark, sf):
     )
 
 
+@query("j2_regional_sums_by_tile", SQL["j2_grid_to_crosswalk"])
+def j2_tiles(spark, sf):
+    """As for a crosswalk beyond the broadcast limit: both sides dealt by map tile."""
+    inside = xwalk(spark, sf).where(~F.col("filled"))
+    daily = regions.aggregate_regions(tables.grid_daily(spark, sf), inside, ["tasmax"], tile=2.0)
+    return daily.groupBy("region_set", "region").agg(
+        F.count("*").alias("days"), r6(F.avg("tasmax")).alias("mean"), r6(F.max("tasmax")).alias("top")
+    )
+
+
 @query(
     "j3_regions_without_cells",
     q.with_(q.CELLS, q.REGIONS, q.INSIDE, q.NEAREST) + "SELECT region_set, region FROM empty_regions",

@@ -93,6 +93,40 @@ def test_scattered_regions_exchange_only_cell_rows(spark, stored, tmp_path):
     assert re.findall(r"Exchange hashpartitioning\((\w+)", text) == ["time"]
 
 
+@pytest.fixture
+def fewer_keys(spark):
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    yield
+    spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_tiles_exchange_only_sums_after_the_join(spark, stored, no_broadcast, fewer_keys, tmp_path):
+    """A crosswalk beyond the broadcast limit: both sides by tile, then one row of sums per tile."""
+    grid = spark.read.parquet(stored)
+    path = str(tmp_path / "xwalk")
+    regions.crosswalk(regions.cells_of(grid), tables.regions(spark, SF_DIR)).write.parquet(path)
+    table = spark.read.parquet(path)
+    text = plan(regions.aggregate_regions(grid, table, ["pr", "tas"], tile=2.0))
+    assert sorted(re.findall(r"Exchange hashpartitioning\((\w+)", text)) == ["region_set", "tx", "tx"]
+    join, last = text.index("SortMergeJoin"), text.index("Exchange hashpartitioning(region_set")
+    assert last < join and "Exchange" not in text[last + 8 : join]
+    assert re.search(r"HashAggregate\(keys=\[tx.*functions=\[sum", text[last:join])
+
+
+def test_tiles_give_the_same_means(spark, stored, tmp_path):
+    grid = spark.read.parquet(stored).withColumn("pr", F.when(F.col("lat") < 31, F.col("pr")))
+    path = str(tmp_path / "xwalk")
+    regions.crosswalk(regions.cells_of(grid), tables.regions(spark, SF_DIR)).write.parquet(path)
+    table = spark.read.parquet(path)
+    key = ["region_set", "region", "time"]
+    want = regions.aggregate_regions(grid, table, ["pr", "tas"])
+    for tile in (0.3, 5.0, 400.0):
+        got = regions.aggregate_regions(grid, table, ["pr", "tas"], tile=tile)
+        pair = want.withColumnsRenamed({"pr": "p", "tas": "t"}).join(got, key, "full")
+        off = [(F.abs(F.col(a) - F.col(b)) > 1e-9) | (F.col(a).isNull() != F.col(b).isNull()) for a, b in (("p", "pr"), ("t", "tas"))]
+        assert pair.where(off[0] | off[1]).count() == 0 and pair.count() == want.count()
+
+
 def test_updates_read_only_touched_years(spark, stored, tmp_path):
     path = str(tmp_path / "copy")
     grid = spark.read.parquet(stored).drop("year")
