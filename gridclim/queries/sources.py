@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import CELL
-from ..functions import text as strings
 from ..operators import quality
 from ..session import scratch_dir
 from ..sources import catalog, geojson, manifest, naming, store, tables
@@ -77,11 +76,10 @@ def s3(spark, sf):
     UNION ALL SELECT 'orders.parquet', count(*) FROM orders""",
 )
 def s3_folder(spark, sf):
-    listed = catalog.select_paths(catalog.list_paths(spark, sf, "*.parquet"), pattern="[lo]*")
-    names = listed.select(strings.basename(F.col("path")).alias("name"))
-    rows = spark.read.option("pathGlobFilter", "*.parquet").parquet(sf)
-    counts = rows.groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count("*").alias("n"))
-    return counts.join(names, "name", "left_semi")
+    # A table may be one file or a folder of part files.
+    listed = catalog.select_paths(catalog.list_entries(spark, sf, "*.parquet"), pattern="[lo]*")
+    counted = listed.join(catalog.rows_of_entries(spark, sf), "path", "left")
+    return counted.select(F.col("path").alias("name"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -22,6 +22,36 @@ def list_paths(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     )
 
 
+def entry_below(spark: SparkSession, root: str, path: Column) -> Column:
+    """The first name of a path below ``root``: a file there, or the folder that holds it.
+
+    Paths may differ in how they write scheme and authority.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    depth = fs.makeQualified(folder).toUri().getPath().rstrip("/").count("/")
+    bare = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.split_part(bare, F.lit("/"), F.lit(depth + 2))
+
+
+def list_entries(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """``path``: names directly below a root that are, or hold, files of the pattern.
+
+    A dataset is one entry, be it one file or a folder of part files.
+    """
+    return list_paths(spark, root, pattern).select(entry_below(spark, root, F.col("path")).alias("path")).distinct()
+
+
+def rows_of_entries(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
+    """``path, n``: rows of the Parquet files of each entry; entries without rows are absent."""
+    rows = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True).parquet(root)
+    # This column is written as a URL, where a plus sign stands for itself.
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return rows.groupBy(file.alias("file")).agg(F.count("*").alias("n")).groupBy(
+        entry_below(spark, root, F.col("file")).alias("path")
+    ).agg(F.sum("n").alias("n"))
+
+
 def select_paths(paths: DataFrame, suffix: str | None = None, pattern: str | None = None) -> DataFrame:
     """Filter a listing by suffix and by a shell pattern on the base name."""
     if suffix:

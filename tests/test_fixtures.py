@@ -2,10 +2,12 @@
 
 import datetime as dt
 import math
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from gridclim import queries
 from gridclim.functions import calendar, geometry, numeric, text
 from gridclim.model import (
     ANNUAL,
@@ -598,6 +600,19 @@ def test_listing(spark):
     assert text.glob_to_regex("a[!0-9]*.nc") == "^a[^0-9].*\\.nc$"
 
 
+def test_rows_of_tables_in_parts(spark, tmp_path):
+    """A table is one entry, as a file or a folder of files, and one without rows has none."""
+    spark.range(30).repartition(3).write.parquet(str(tmp_path / "root" / "labels.parquet"))
+    spark.range(5).repartition(2).write.parquet(str(tmp_path / "root" / "or ders+1.parquet"))
+    spark.range(0).write.parquet(str(tmp_path / "root" / "lineitem.parquet"))
+    spark.range(7).write.parquet(str(tmp_path / "root" / "events.parquet"))
+    one = next((tmp_path / "root" / "events.parquet").glob("part-*.parquet"))
+    shutil.copy(one, tmp_path / "root" / "one.parquet")
+    queries.load_all()
+    rows = queries.QUERIES["s3_rows_of_listed_files"](spark, str(tmp_path / "root")).collect()
+    assert {r["name"]: r["n"] for r in rows} == {"labels.parquet": 30, "or ders+1.parquet": 5, "lineitem.parquet": 0, "one.parquet": 7}
+
+
 def test_required_stores(spark):
     required = catalog.required_stores(spark, ["tx30", "r1mm"])
     have = spark.createDataFrame([("pr_None_ERA5_gridded.zarr",)], "name string")
