@@ -25,12 +25,20 @@ class Publisher:
 
 
 def merged(*maps: Column) -> Column:
-    """Maps merged key by key; the last one that has a key wins."""
+    """Maps merged key by key; the last one that has a key wins.
+
+    Both maps are put in a struct that a lambda takes, so each is worked out once per row
+    and not again for every key of the other.
+    """
     return reduce(_overlaid, maps)
 
 
 def _overlaid(below: Column, above: Column) -> Column:
-    return F.map_concat(F.map_filter(below, lambda k, _: ~F.map_contains_key(above, k)), above)
+    def put(pair: Column) -> Column:
+        rest = F.map_filter(pair["below"], lambda k, _: ~F.map_contains_key(pair["above"], k))
+        return F.map_concat(rest, pair["above"])
+
+    return F.transform(F.array(F.struct(below.alias("below"), above.alias("above"))), put)[0]
 
 
 def only(attrs: Column, keys: Sequence[str], prefixes: Sequence[str] = ()) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridclim.operators import indices, percentiles, regions
 from gridclim.plans import incremental, ingest
-from gridclim.sources import store, tables
+from gridclim.sources import metadata, store, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -149,3 +149,21 @@ def test_ingest_from_raw_names(spark):
     assert out.columns == ["time", "lat", "lon", "tas"]
     want = tables.grid_daily(spark, SF_DIR).agg(F.round(F.sum("tas"), 4)).first()[0]
     assert out.agg(F.round(F.sum("tas"), 4)).first()[0] == want
+
+
+def test_merged_maps_are_worked_out_once(spark):
+    """Maps merged into maps: an expression per map, not one per key and level."""
+    attrs = F.create_map(F.lit("k"), F.concat(F.lit("marker"), F.col("id").cast("string")))
+    for n in range(6):
+        attrs = metadata.merged(F.create_map(F.lit(f"k{n}"), F.lit("v")), attrs)
+    row = spark.range(3).select(attrs.alias("attrs"))
+    assert plan(row).split("== Initial Plan ==")[0].count("marker") == 1
+    assert row.collect()[2]["attrs"] == {**{f"k{n}": "v" for n in range(6)}, "k": "marker2"}
+
+
+def test_attributes_are_dealt_before_they_are_merged(spark, tmp_path):
+    """Few files are no reason for few tasks: merging costs more than moving."""
+    path = str(tmp_path / "attributes")
+    spark.range(9).select(F.col("id").cast("string").alias("dataset"), F.create_map(F.lit("k"), F.lit("v")).alias("attrs")).coalesce(1).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert "Exchange hashpartitioning(dataset" in plan(incremental.merge_attributes(stored, stored))
