@@ -605,7 +605,7 @@ def test_rows_of_tables_in_parts(spark, tmp_path):
     spark.range(30).repartition(3).write.parquet(str(tmp_path / "root" / "labels.parquet"))
     spark.range(5).repartition(2).write.parquet(str(tmp_path / "root" / "or ders+1.parquet"))
     spark.range(0).write.parquet(str(tmp_path / "root" / "lineitem.parquet"))
-    spark.range(7).write.parquet(str(tmp_path / "root" / "events.parquet"))
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "root" / "events.parquet"))
     one = next((tmp_path / "root" / "events.parquet").glob("part-*.parquet"))
     shutil.copy(one, tmp_path / "root" / "one.parquet")
     queries.load_all()
