@@ -61,9 +61,11 @@ def requests(
     """One row per file to fetch for ``(variable, level, start, end, grain)`` rows.
 
     Carries the fields of the request and, as ``first_day`` and ``last_day``, the
-    part of it the range asked for.
+    part of it the range asked for. A range makes as many rows as it has days, so ranges are
+    dealt evenly to the session's number of partitions first, however few files they come from.
     """
     fields = registries.REQUEST_FIELDS[product]
+    ranges = ranges.repartition(int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     names = F.broadcast(registries.request_names_table(ranges.sparkSession))  # five constants
     dated = ranges.join(names, "variable").withColumn("date", F.explode(_starts(F.col("grain"), compat)))
     grain, date = F.col("grain"), F.col("date")

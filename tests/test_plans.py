@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridclim.operators import indices, percentiles, regions
 from gridclim.plans import incremental, ingest
-from gridclim.sources import metadata, store, tables
+from gridclim.sources import manifest, metadata, store, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -167,3 +167,13 @@ def test_attributes_are_dealt_before_they_are_merged(spark, tmp_path):
     spark.range(9).select(F.col("id").cast("string").alias("dataset"), F.create_map(F.lit("k"), F.lit("v")).alias("attrs")).coalesce(1).write.parquet(path)
     stored = spark.read.parquet(path)
     assert "Exchange hashpartitioning(dataset" in plan(incremental.merge_attributes(stored, stored))
+
+
+def test_ranges_are_dealt_before_they_become_requests(spark, tmp_path):
+    """Equal ranges of one file, thousands of days each, are not the work of one task."""
+    path = str(tmp_path / "ranges")
+    day = [F.to_date(F.lit(d)).alias(n) for d, n in (("2000-01-01", "start"), ("2009-12-31", "end"))]
+    spark.range(64).select(F.lit("pr").alias("variable"), F.lit("500").alias("level"), *day, F.lit("daily").alias("grain")).coalesce(1).write.parquet(path)
+    made = manifest.requests(spark.read.parquet(path), "/data")
+    sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 64 * 3653 and max(sizes) <= sum(sizes) / 4
