@@ -164,6 +164,8 @@ def aggregate_regions(
       keeps that partitioning where ``spark.sql.requireAllClusterKeysForCoPartition`` is
       false; elsewhere it partitions by cell and moves first sums too, with equal results.
     """
+    if tile is not None and tuple(keys) == ("time",) and dict(grid.dtypes)["time"] == "date":
+        return _days_by_tiles(grid, xwalk, variables, tile)
     if tile is not None:
         return _by_tiles(grid, xwalk, variables, keys, tile)
     if scattered:
@@ -174,6 +176,83 @@ def aggregate_regions(
     )
 
 
+SLOTS = 32  # days of one variable side by side; many more columns than that would leave generated code
+
+
+def aggregate_days(
+    grid: DataFrame, xwalk: DataFrame, variables: list[str], due: DataFrame | None = None, tile: float = 4.0
+) -> DataFrame:
+    """Daily area-weighted means per region, ``region_set, region, time, <variables>``, over many days.
+
+    A cell is in dozens of regions, so rows are packed before they meet them: cell rows are dealt
+    by map tile and block of days, and a cell and block become one row with a sum and a count per day. That row
+    is sent to each region once, and sums are kept per region and block, not per region and day; days
+    become rows again at the end. A tile holds most regions whole, so a region
+    leaves few rows of sums to exchange. Beside the sums, a bit per day says whether it has any row.
+
+    ``due``, rows of ``region_set, time``, restricts the days of each set; blocks without a day due are not summed.
+    """
+    slots = max(1, SLOTS // len(variables))
+    cells = _packed(grid, variables, slots, tile, ("tx", "ty", "_block"))
+    if due is not None:
+        # At most as many rows as the calendar has blocks, each with a bit mask per region set.
+        masks = due.select("region_set", *_slot_of_day(slots)).groupBy("region_set", "_block").agg(_bits().alias("_due"))
+        sets = masks.groupBy("_block").agg(F.map_from_entries(F.collect_list(F.struct("region_set", "_due"))).alias("_due"))
+        cells = cells.join(F.broadcast(sets), "_block")
+    joined = cells.join(xwalk.select(*REGION, *CELL, "w"), list(CELL))
+    if due is not None:
+        wanted = F.col("_days").bitwiseAND(F.try_element_at("_due", F.col("region_set")))
+        joined = joined.withColumn("_days", wanted).where(F.col("_days") != 0)
+    sums = joined.groupBy(*REGION, "_block").agg(*_summed(len(variables), slots, F.col("w")))
+    return _unpacked(sums, variables, slots)
+
+
+def _bits() -> Column:
+    return F.bit_or(F.expr("shiftleft(1L, _slot)"))
+
+
+def _slot_of_day(slots: int) -> list[Column]:
+    day = F.unix_date("time")
+    return [F.floor(day / slots).cast("int").alias("_block"), F.coalesce(F.pmod(day, F.lit(slots)), F.lit(0)).alias("_slot")]
+
+
+def _packed(grid: DataFrame, variables: list[str], slots: int, tile: float, deal: tuple[str, ...]) -> DataFrame:
+    """``tx, ty, _block, lat, lon, _days`` and per variable and day of the block its sum and count."""
+    values = [F.col(v).alias(f"_v{i}") for i, v in enumerate(variables)]
+    place = {"tx": _tile(F.col("lon"), tile), "ty": _tile(F.col("lat"), tile)}
+    rows = grid.select(*_slot_of_day(slots), *CELL, *values).withColumns(place).repartition(*deal)
+    of_day = [(i, d, F.when(F.col("_slot") == d, F.col(f"_v{i}"))) for i in range(len(variables)) for d in range(slots)]
+    sums = [c for i, d, v in of_day for c in (F.sum(v).alias(f"_s{i}_{d}"), F.count(v).alias(f"_n{i}_{d}"))]
+    return rows.groupBy("tx", "ty", "_block", *CELL).agg(*sums, _bits().alias("_days"))
+
+
+def _summed(n: int, slots: int, weight: Column) -> list[Column]:
+    names = [f"{c}{i}_{d}" for i in range(n) for d in range(slots) for c in ("_s", "_n")]
+    return [*[F.sum(F.col(c) * weight).alias(c) for c in names], F.bit_or("_days").alias("_days")]
+
+
+def _unpacked(sums: DataFrame, variables: list[str], slots: int) -> DataFrame:
+    """Days that have a row, one by one; without a present value the mean is missing."""
+    means = F.array(*[
+        F.struct(F.lit(d).alias("_slot"), *[F.try_divide(f"_s{i}_{d}", f"_n{i}_{d}").alias(v) for i, v in enumerate(variables)])
+        for d in range(slots)
+    ])
+    time = F.date_from_unix_date(F.col("_block") * slots + F.col("_slot")).alias("time")
+    rows = sums.select(*REGION, "_block", "_days", F.inline(means)).where("_days & shiftleft(1L, _slot) != 0")
+    return rows.select(*REGION, time, *variables)
+
+
+def _days_by_tiles(grid: DataFrame, xwalk: DataFrame, variables: list[str], tile: float) -> DataFrame:
+    """As :func:`_by_tiles`, with cell rows packed into blocks of days before the join."""
+    slots = max(1, SLOTS // len(variables))
+    place = {"tx": _tile(F.col("lon"), tile), "ty": _tile(F.col("lat"), tile)}
+    cells = _packed(grid, variables, slots, tile, ("tx", "ty"))
+    weights = xwalk.select(*REGION, *CELL, "w").withColumns(place).repartition(*place)
+    partial = cells.join(weights, [*place, *CELL]).groupBy(*place, *REGION, "_block").agg(*_summed(len(variables), slots, F.col("w")))
+    total = partial.groupBy(*REGION, "_block").agg(*_summed(len(variables), slots, F.lit(1.0)))
+    return _unpacked(total, variables, slots)
+
+
 def _by_tiles(grid: DataFrame, xwalk: DataFrame, variables: list[str], keys: tuple[str, ...], tile: float) -> DataFrame:
     """Weighted sums per tile, region and ``keys``, then their sums over tiles.
 

@@ -385,7 +385,7 @@ def a21(spark, sf):
     grid = tables.grid_daily(spark, sf).select(
         "time", *CELL, F.when(F.col("tas") <= 25, F.col("tas")).alias("v")
     )
-    daily = regions.aggregate_regions(grid, inside, ["v"], scattered=True)
+    daily = regions.aggregate_days(grid, inside, ["v"])
     month = text(calendar.period_start(F.col("time"), MONTHLY)).alias("month")
     return daily.groupBy("region_set", "region", month).agg(
         F.count("v").alias("days"), r6(F.avg("v")).alias("v")
@@ -402,7 +402,7 @@ def a21(spark, sf):
 )
 def a22(spark, sf):
     grid = tables.grid_daily(spark, sf)
-    daily = regions.aggregate_regions(grid, xwalk(spark, sf), ["pr", "tas"], scattered=True)
+    daily = regions.aggregate_days(grid, xwalk(spark, sf), ["pr", "tas"])
     return daily.groupBy("region_set", "region", F.year("time").cast("bigint").alias("year")).agg(
         F.count("*").alias("days"), F.round(F.sum("pr"), 5).alias("pr"), r6(F.avg("tas")).alias("tas")
     )

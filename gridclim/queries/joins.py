@@ -32,7 +32,7 @@ def j1(spark, sf):
 )
 def j2(spark, sf):
     inside = xwalk(spark, sf).where(~F.col("filled"))
-    daily = regions.aggregate_regions(tables.grid_daily(spark, sf), inside, ["tasmax"], scattered=True)
+    daily = regions.aggregate_days(tables.grid_daily(spark, sf), inside, ["tasmax"])
     return daily.groupBy("region_set", "region").agg(
         F.count("*").alias("days"), r6(F.avg("tasmax")).alias("mean"), r6(F.max("tasmax")).alias("top")
     )

@@ -177,3 +177,43 @@ def test_ranges_are_dealt_before_they_become_requests(spark, tmp_path):
     made = manifest.requests(spark.read.parquet(path), "/data")
     sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 64 * 3653 and max(sizes) <= sum(sizes) / 4
+
+
+def _same(want, got, variables):
+    key = ["region_set", "region", "time"]
+    pair = want.withColumnsRenamed({v: f"want_{v}" for v in variables}).join(got, key, "full")
+    off = [(F.abs(F.col(f"want_{v}") - F.col(v)) > 1e-9) | (F.col(f"want_{v}").isNull() != F.col(v).isNull()) for v in variables]
+    bad = off[0]
+    for o in off[1:]:
+        bad = bad | o
+    return pair.where(bad).count() == 0 and pair.count() == want.count() == got.count()
+
+
+@pytest.fixture(scope="module")
+def crossed(spark, stored, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("crossed") / "xwalk")
+    regions.crosswalk(regions.cells_of(spark.read.parquet(stored)), tables.regions(spark, SF_DIR)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_packed_days_give_the_same_means(spark, stored, crossed):
+    """Missing values, days before 1970, cells with two rows a day, and more variables than slots of one."""
+    grid = spark.read.parquet(stored).drop("year").withColumn("pr", F.when(F.col("lat") < 31, F.col("pr")))
+    old = grid.where(F.month("time") == 3).withColumn("time", F.add_months("time", -12 * 40))
+    grid = grid.unionByName(old).unionByName(grid.where(F.dayofmonth("time") == 9).withColumn("tas", F.col("tas") + 5))
+    for names in (["pr"], ["pr", "tas"], ["pr", "tas", "tasmin", "tasmax"]):
+        want = regions.aggregate_regions(grid, crossed, names)
+        assert _same(want, regions.aggregate_days(grid, crossed, names), names)
+    due = spark.createDataFrame([("NUTS-0", dt.date(1999, 5, d)) for d in (1, 2, 30)] + [("NUTS-3", dt.date(1999, 5, 2))], "region_set string, time date")
+    want = regions.aggregate_regions(grid, crossed, ["pr"]).join(due, ["region_set", "time"]).select("region_set", "region", "time", "pr")
+    assert _same(want, regions.aggregate_days(grid, crossed, ["pr"], due), ["pr"])
+
+
+@pytest.mark.parametrize("how", ["days", "tiles"])
+def test_a_region_meets_a_cell_once_per_block_of_days(spark, stored, crossed, how):
+    """Rows of a cell and block are one row below the join with the crosswalk."""
+    grid = spark.read.parquet(stored)
+    means = regions.aggregate_days(grid, crossed, ["pr"]) if how == "days" else regions.aggregate_regions(grid, crossed, ["pr"], tile=2.0)
+    text = plan(means).split("== Initial Plan ==")[0]
+    below = text[text.index("HashJoin") :]
+    assert "HashAggregate(keys=[tx" in below and "_block" in below.split("HashAggregate(keys=[tx")[1].split("]")[0]
