@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import axis, calendar, numeric
+from ..functions import axis, calendar
 from ..model import STANDARD_FREQS
-from ..operators import canon, completeness
+from ..operators import canon, completeness, regions
 from ..operators.percentiles import WINDOW
 from ..session import materialise
 from ..sources import metadata, store
@@ -56,8 +56,8 @@ def update_grid(
 
 def region_increment(
     grid: DataFrame, xwalk: DataFrame, stored: DataFrame, end: dt.date
-) -> DataFrame:
-    """Crosswalk rows joined to the days each region set still lacks.
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of days that any region set still lacks, and ``region_set, time`` of what each lacks.
 
     ``stored`` gives ``region_set, time``: the regional store, or the labels noted beside it. Each set has its own days: one that lags behind, was
     never written, or lost a year to a broken commit is due where it lacks something.
@@ -65,14 +65,11 @@ def region_increment(
     days = canon.between_dates(grid, None, end.isoformat())
     sets = xwalk.select("region_set").distinct().agg(F.collect_set("region_set").alias("s"))  # a handful
     wanted = axis.time_axis(days).select("time", F.explode(axis.scalar(sets, F.first("s"))).alias("region_set"))
-    lacking = (
-        wanted.join(stored.select("region_set", "time").distinct(), ["region_set", "time"], "left_anti")
-        .groupBy("time")
-        .agg(F.collect_set("region_set").alias("due"))
-    )
+    # Read three times below, and as long as the calendar.
+    lacking = materialise(wanted.join(stored.select("region_set", "time").distinct(), ["region_set", "time"], "left_anti"))
     if "year" in grid.columns:  # years without a due day are not read
         days = days.where(F.col("year") >= F.year(axis.scalar(lacking, F.min("time"))))
-    return days.join(lacking, "time").join(xwalk, ["lat", "lon"]).where(F.array_contains("due", F.col("region_set")))
+    return days.join(lacking.select("time").distinct(), "time", "left_semi"), lacking
 
 
 def update_regions(
@@ -86,10 +83,8 @@ def update_regions(
 ) -> bool:
     """Bring every region set of a regional store up to ``end``; ``journal`` as for a grid."""
     stored = spark.read.parquet(path) if journal is None else journal.held()
-    due = region_increment(grid, xwalk, stored, end)
-    new = due.groupBy(*REGIONAL_KEY).agg(
-        *[numeric.weighted_mean(F.col(v), F.col("w")).alias(v) for v in variables]
-    )
+    rows, due = region_increment(grid, xwalk, stored, end)
+    new = regions.aggregate_days(rows, xwalk, variables, due)
     return store.update_store(spark, path, new, REGIONAL_KEY, record=journal)
 
 

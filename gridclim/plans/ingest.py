@@ -69,7 +69,7 @@ def ingest(
     xwalk = spark.read.parquet(xwalk_path)
     areas = regional_journal(spark, root, variables, now)
     if overwrite or not store.exists(spark, regional_path):
-        journal.create(areas, store.with_year(regions.aggregate_regions(whole, xwalk, variables)))
+        journal.create(areas, store.with_year(regions.aggregate_days(whole, xwalk, variables)))
         regional = True
     else:
         regional = incremental.update_regions(spark, regional_path, whole, xwalk, variables, end, areas)

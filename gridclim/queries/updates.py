@@ -62,7 +62,7 @@ def i2(spark, sf):
     grid = tables.grid_daily(spark, sf).select("time", *CELL, "pr")
     # Each set was left at another day, and NUTS-3 was never written.
     stops = F.create_map(*[F.lit(v) for v in ("NUTS-0", "1999-12-31", "NUTS-1", "2000-03-10", "NUTS-2", "2001-06-30")])
-    means = regions.aggregate_regions(grid, table, ["pr"])
+    means = regions.aggregate_days(grid, table, ["pr"])
     old = means.where(F.col("time") <= F.to_date(F.try_element_at(stops, F.col("region_set"))))
     store.write_store(store.with_year(old), path, partition_by=["year"])
     incremental.update_regions(spark, path, grid, table, ["pr"], _end(grid))
