@@ -103,3 +103,13 @@ def test_an_update_reads_due_years_only(spark, grid):
     )
     assert got == want and len(got) > 4
     assert indices.get_index("r95ptot").index.percentile.window == percentiles.WINDOW
+
+
+def test_percentiles_come_from_the_state_alone(spark, monkeypatch):
+    """No index is computed for them."""
+    from gridclim import queries
+    from gridclim.queries import updates
+
+    queries.load_all()
+    monkeypatch.setattr(updates.index_run, "run", None)
+    assert queries.QUERIES["a16_percentile_from_kept_state"](spark, "/root/testdata/sf0.001").count() > 0
