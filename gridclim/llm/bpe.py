@@ -343,10 +343,19 @@ def _dictionary(rows: pa.Table) -> pa.ListArray:
 
 
 def encode(
-    docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 16 << 20, part_bytes: int = 1 << 20
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_bytes: int = 16 << 20,
+    part_bytes: int = 1 << 20,
+    as_bytes: bool = False,
 ) -> DataFrame:
     """(doc_id, ids, decoded): each row's ids, and the text that they decode to.
 
+    With ``as_bytes`` ids are one binary value, four bytes for each, little-endian.
+
     ``docs`` is read twice, once for the dictionaries and once for the places of words, and must
     give the same rows in the same order, as a table of files does. Other input should
     be written first; a block that comes out differently ends the job with an error.
@@ -375,13 +384,18 @@ def encode(
             raw = texts.buffers()[2].to_pybytes() if len(texts) else b""
             text_ends = np.frombuffer(texts.buffers()[1], dtype=np.int32)[token_ends] if len(texts) else token_ends
             decoded = [raw[a:b].decode("utf-8", "replace") for a, b in zip(text_ends, text_ends[1:])]
-            columns = [names.values, pa.ListArray.from_arrays(pa.array(token_ends, pa.int32()), tokens), pa.array(decoded, pa.string())]
-            found.append(pa.table(columns, names=["doc_id", "ids", "decoded"]))
+            if as_bytes:
+                raw = pa.py_buffer(tokens.to_numpy(zero_copy_only=False).astype("<i4"))
+                lists = pa.BinaryArray.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((4 * token_ends).astype(np.int32)), raw])
+            else:
+                lists = pa.ListArray.from_arrays(pa.array(token_ends, pa.int32()), tokens)
+            found.append(pa.table([names.values, lists, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"]))
         if not found:
             raise RuntimeError("documents came in another order when they were read again")
         return pa.concat_tables(found)
 
-    return held.groupBy("block").cogroup(coded.groupBy("of")).applyInArrow(put_together, f"doc_id {kind}, ids array<int>, decoded string")
+    listed = "binary" if as_bytes else "array<int>"
+    return held.groupBy("block").cogroup(coded.groupBy("of")).applyInArrow(put_together, f"doc_id {kind}, ids {listed}, decoded string")
 
 
 def piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
@@ -401,20 +415,14 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id",
 
 
 def report(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256); ids as little-endian numbers of four bytes."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256); ids as little-endian numbers of four bytes.
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, ends = batch.column(1), batch.column(1).offsets.to_numpy()
-            raw = ids.values.to_numpy().astype("<u4").tobytes()
-            found = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pc.cast(pc.list_value_length(ids), pa.int64()), pa.array(found, pa.string()), batch.column(2)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    coded = encode(docs, vocabulary)
-    kind = coded.schema["doc_id"].dataType.simpleString()
-    return coded.select("doc_id", "ids", F.sha2(F.col("decoded"), 256).alias("decoded_sha256")).mapInArrow(
-        digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    The digests are column expressions, so a task needs no second Python worker beside the one that encodes.
+    """
+    coded = encode(docs, vocabulary, as_bytes=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -68,6 +68,17 @@ def test_edges(spark, vocabulary, library, edges, nothing, block):
     assert bpe.encode(nothing, vocabulary, block_bytes=block).count() == 0
 
 
+def test_ids_as_bytes(spark, vocabulary, edges):
+    lists = Counter((r.doc_id, np.array(r.ids, dtype="<u4").tobytes(), r.decoded) for r in bpe.encode(edges, vocabulary, block_bytes=50).collect())
+    assert Counter((r.doc_id, bytes(r.ids), r.decoded) for r in bpe.encode(edges, vocabulary, block_bytes=50, as_bytes=True).collect()) == lists
+
+
+def test_digests_need_no_second_worker(spark):
+    plan = queries.op12_bpe(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    # the plan's last step stands first
+    assert plan.index("FlatMapCoGroupsInArrow") < plan.index("MapInArrow") and plan.count("MapInArrow ") == 3
+
+
 def test_whole_table(spark, docs, library):
     from hashlib import sha256
 
