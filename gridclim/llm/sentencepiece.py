@@ -44,12 +44,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
-from .common import keyed, share
+from .common import keyed, pieces_of, share, utf8
 
 MARK = "▁"  # stands for a blank in pieces
 UNKNOWN_PENALTY = 10.0
 FEW = 591  # code points below are told apart when certain cuts are looked for
 NONE = -np.inf
+KEPT = 64  # characters of a segment whose path is remembered
+PART = 1 << 20  # bytes of text that are cut at once
 
 
 @dataclass
@@ -62,8 +64,19 @@ class Vocabulary:
     memory: dict[str, tuple[float, list[int]]] = field(default_factory=dict)
     remember: int = 200_000
     joined: np.ndarray = field(init=False)  # which characters stand next to each other in a piece
+    # What pieces start with, as a tree: nodes are numbered by length and then in order, 0 is the empty start.
+    # A node's place in ``edges`` is its number less 1; an edge is parent << 21 | character.
+    edges: np.ndarray = field(init=False)
+    node_score: np.ndarray = field(init=False)
+    node_id: np.ndarray = field(init=False)  # -1 if the node is no piece
 
     def __post_init__(self) -> None:
+        starts = sorted({piece[:k] for piece in self.pieces for k in range(1, len(piece) + 1)}, key=lambda p: (len(p), p))
+        number = {"": 0} | {p: k for k, p in enumerate(starts, 1)}
+        self.edges = np.array([number[p[:-1]] << 21 | ord(p[-1]) for p in starts], dtype=np.int64)
+        found = [self.pieces.get(p, (NONE, -1)) for p in ("", *starts)]
+        self.node_score = np.array([f[0] for f in found])
+        self.node_id = np.array([f[1] for f in found], dtype=np.int32)
         self.joined = np.zeros((FEW + 1, FEW + 1), dtype=bool)
         for piece in self.pieces:
             for a, b in zip(piece, piece[1:]):
@@ -140,10 +153,68 @@ class Vocabulary:
         found = self.memory.get(w)
         if found is None:
             found = self._word(w)
-            if len(w) <= 64 and len(self.memory) < self.remember:
-                self.memory[w] = found
+            self.keep(w, found)
         return found
 
+    def keep(self, w: str, found: tuple[float, list[int]]) -> None:
+        if len(w) <= KEPT and len(self.memory) < self.remember:
+            self.memory[w] = found
+
+    def children(self, nodes: np.ndarray | int, points: np.ndarray) -> np.ndarray:
+        """The node that each character leads to, 0 if there is none."""
+        wanted = nodes << 21 | points
+        at = np.searchsorted(self.edges, wanted)
+        return np.where(self.edges[np.minimum(at, len(self.edges) - 1)] == wanted, at + 1, 0)
+
+    def words(self, words: list[str]) -> list[tuple[float, list[int]]]:
+        """What :meth:`_word` gives for each word, all of them side by side.
+
+        A word of n characters has n + 1 places. Steps that start at the same distance from their words'
+        starts lead to different places, so one array operation takes them all. Long words and those
+        with a character that is no piece go one by one.
+        """
+        if not words:
+            return []
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        of, stops = np.repeat(np.arange(len(words)), lengths), np.cumsum(lengths)
+        first = self.children(0, points)
+        alone = lengths > KEPT
+        alone[of[self.node_id[first] < 0]] = True
+        offset = np.arange(len(points)) - (stops - lengths)[of]
+        left = lengths[of] - offset
+        at = np.flatnonzero(~alone[of])
+        node, steps = first[at], []
+        for size in range(1, self.longest + 1):
+            ends = self.node_id[node] >= 0
+            steps.append((at[ends], np.full(int(ends.sum()), size), node[ends]))
+            more = left[at] > size
+            at, node = at[more], node[more]
+            node = self.children(node, points[at + size])
+            at, node = at[node > 0], node[node > 0]
+        at, size, node = (np.concatenate(x) for x in zip(*steps))
+        order = np.argsort(offset[at].astype(np.int16), kind="stable")
+        at, size, node = at[order], size[order], node[order]
+        score, piece, source = self.node_score[node], self.node_id[node], at + of[at]
+        starts, stops = stops - lengths + np.arange(len(words)), stops + np.arange(len(words))
+        best, back = np.full(len(points) + len(words), NONE), np.zeros(len(points) + len(words), dtype=np.int64)
+        best[starts], ids = 0.0, np.zeros(len(best), dtype=np.int32)
+        bounds = np.searchsorted(offset[at], np.arange(KEPT + 1))
+        for a, b in zip(bounds, bounds[1:]):
+            to, total = source[a:b] + size[a:b], best[source[a:b]] + score[a:b]
+            better = total > best[to]
+            to = to[better]
+            best[to], back[to], ids[to] = total[better], source[a:b][better], piece[a:b][better]
+        on = np.zeros(len(best), dtype=bool)
+        place, floor = stops[~alone], starts[~alone]
+        while len(place):
+            on[place] = True
+            place = back[place]
+            place, floor = place[place > floor], floor[place > floor]
+        flat, before = ids[on].tolist(), np.append(0, np.cumsum(on))
+        spans = zip(words, alone.tolist(), best[stops].tolist(), before[starts].tolist(), before[stops + 1].tolist())
+        return [self._word(w) if one else (total, flat[a:b]) for w, one, total, a, b in spans]
+
     def _word(self, s: str) -> tuple[float, list[int]]:
         """What :meth:`path` gives for the whole of ``s``, in one tight loop."""
         get, longest, n = self.pieces.get, self.longest, len(s)
@@ -183,6 +254,30 @@ class Vocabulary:
         known, word = self.memory.get, self.word
         return [x for w in self.segments(" " + text) for x in (known(w) or word(w))[1]]
 
+    def encode_all(self, texts: pa.Array) -> pa.ListArray:
+        """What :meth:`encode` gives for each text of a column without NULLs; each distinct segment is looked up once."""
+        blank = pc.binary_join_element_wise(pa.scalar(" "), texts, pa.scalar(""))
+        data, ends = utf8(pc.if_else(pc.equal(texts, ""), "", blank))
+        at = np.flatnonzero((data & 0xC0) != 0x80)
+        kinds = np.minimum(np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32), FEW)
+        cut = np.ones(len(at), dtype=bool)
+        cut[1:] = ~self.joined[kinds[:-1], kinds[1:]]
+        edges = np.searchsorted(at, ends)
+        cut[edges[edges < len(at)]] = True
+        starts = at[cut]
+        bounds = np.append(starts, len(data)).astype(np.int32)
+        found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data)).dictionary_encode()
+        words = found.dictionary.to_pylist()
+        held = [self.memory.get(w) for w in words]
+        new = [k for k, path in enumerate(held) if path is None]
+        for k, path in zip(new, self.words([words[k] for k in new])):
+            held[k] = path
+            self.keep(words[k], path)
+        ids = _lists([path[1] for path in held])
+        lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+        token_ends = np.append(0, np.cumsum(lengths[found.indices.to_numpy(zero_copy_only=False)]))[np.searchsorted(starts, ends)]
+        return pa.ListArray.from_arrays(pa.array(token_ends, pa.int32()), ids.take(found.indices).flatten())
+
     def decode(self, ids: list[int], names: list[str | int]) -> str:
         """``names`` as from :meth:`names`: a text per id, or the value of a byte piece."""
         parts, raw = [], bytearray()
@@ -300,9 +395,8 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared()
-        for batch in _parts(batches):
-            ids = [v.encode(t.as_py()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(ids)], names=["id", "th", "ids"])
+        for batch in pieces_of(batches, 2, PART):
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), v.encode_all(batch.column(2))], names=["id", "th", "ids"])
 
     small = base.where(F.char_length("text") < chunk).mapInArrow(whole, f"id {kind}, th long, ids array<int>")
 
@@ -384,23 +478,16 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared()
-        names = v.names()
-        plain = np.array([n if isinstance(n, str) else "" for n in names] + [""], dtype=object)
-        special = np.array([not isinstance(n, str) for n in names] + [False])
+        pieces = pa.array([n.encode() if isinstance(n, str) else bytes([n]) for n in v.names()] + [b""], pa.binary())
         for batch in _parts(batches):
             lists = batch.column(at)
             lists = lists.fill_null([]) if lists.null_count else lists
             ids = lists.flatten().to_numpy(zero_copy_only=False)
             ends = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
-            ids = np.where((ids < 0) | (ids >= len(names)), len(names), ids)
-            words, bytes_before = plain[ids], np.append(0, np.cumsum(special[ids]))
-            texts = []
-            for a, b in zip(ends, ends[1:]):
-                if bytes_before[a] == bytes_before[b]:
-                    text = "".join(words[a:b])
-                    texts.append(text[1:] if text.startswith(" ") else text)
-                else:
-                    texts.append(v.decode(ids[a:b].tolist(), names))
+            ids = np.where((ids < 0) | (ids >= v.size), v.size, ids)
+            _, places, raw = pieces.take(pa.array(ids)).buffers()
+            raw, places = raw.to_pybytes() if raw else b"", np.frombuffer(places, dtype=np.int32)[ends].tolist() if len(ids) else ends
+            texts = [raw[a:b].decode("utf-8", "surrogatepass").removeprefix(" ") for a, b in zip(places, places[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, text_col])
 
     out = encoded.select(*kept)

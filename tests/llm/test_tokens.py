@@ -1,7 +1,9 @@
 """SentencePiece pieces and token counts."""
 
+import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 import sentencepiece as library
 import tiktoken
@@ -53,6 +55,45 @@ def test_common_words_are_single_pieces(vocabulary):
     assert sum(same) >= 14
 
 
+def test_a_column_is_encoded_as_its_texts(vocabulary):
+    rng = random.Random(7)
+    starts = [p for p in vocabulary.pieces if len(p) > 1]
+    made = ["".join(rng.choice(starts)[: rng.randint(1, 9)] for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    texts = [*TEXTS, *made, "", "\n", "x" * 64, "x" * 65, "é▁🎉" * 9]
+    for some in (texts, texts[::-1], [], [""], ["", ""], ["", "a", ""]):
+        fresh = sentencepiece.Vocabulary.read(queries.PIECES)
+        want = [vocabulary.encode(x) for x in some]
+        assert fresh.encode_all(pa.array(some, pa.string())).to_pylist() == want
+        assert fresh.encode_all(pa.array(["cut off", *some], pa.string())[1:]).to_pylist() == want
+
+
+def test_words_go_side_by_side(vocabulary):
+    alone = []
+
+    class Counting(sentencepiece.Vocabulary):
+        def _word(self, s):
+            alone.append(s)
+            return super()._word(s)
+
+    counting = Counting(vocabulary.pieces, vocabulary.byte_ids, vocabulary.unknown, vocabulary.size, vocabulary.longest)
+    texts = ["some words of a text", "other words\n🎉", "y" * 80] * 3
+    found = counting.encode_all(pa.array(texts)).to_pylist()
+    assert found == [vocabulary.encode(t) for t in texts]
+    assert not any(w.strip().isascii() and w.strip().isalpha() and len(w) <= 64 for w in alone)
+    words = ["some", " words", "y" * 64, "▁", "🎉x", "é"]
+    assert counting.words(words) == [vocabulary._word(w) for w in words]
+
+
+def test_decode_of_any_ids(spark, vocabulary):
+    names = vocabulary.names()
+    byte = {n: i for i, n in enumerate(names) if isinstance(n, int)}
+    plain = vocabulary.encode("a text")
+    lists = [plain, [byte[b] for b in "é🎉".encode()], [-1, *plain, 10**6], [vocabulary.pieces[" "][1]] * 2, [byte[32], byte[10]], [], None]
+    df = spark.createDataFrame(list(enumerate(lists)), "id long, ids array<int>")
+    got = {r.id: r.decoded for r in sentencepiece.decode(df, vocabulary).collect()}
+    assert got == {i: vocabulary.decode(x or [], names) for i, x in enumerate(lists)}
+
+
 @pytest.mark.parametrize("chunk", [33, 50, 333])
 def test_chunks_find_a_path_as_good(vocabulary, chunk):
     for t in TEXTS[1:]:
