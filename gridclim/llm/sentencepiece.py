@@ -62,6 +62,7 @@ class Vocabulary:
     size: int
     longest: int
     memory: dict[str, tuple[float, list[int]]] = field(default_factory=dict)
+    packed: dict[str, bytes] = field(default_factory=dict)  # ids of segments, four bytes each
     remember: int = 200_000
     joined: np.ndarray = field(init=False)  # which characters stand next to each other in a piece
     # What pieces start with, as a tree: nodes are numbered by length and then in order, 0 is the empty start.
@@ -111,7 +112,7 @@ class Vocabulary:
         )
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"memory": {}}
+        return self.__dict__ | {"memory": {}, "packed": {}}
 
     def steps(self, s: str, i: int, end: int) -> Iterator[tuple[int, float]]:
         """(end, score) of each piece that starts at i."""
@@ -153,21 +154,18 @@ class Vocabulary:
         found = self.memory.get(w)
         if found is None:
             found = self._word(w)
-            self.keep(w, found)
+            if len(w) <= KEPT and len(self.memory) < self.remember:
+                self.memory[w] = found
         return found
 
-    def keep(self, w: str, found: tuple[float, list[int]]) -> None:
-        if len(w) <= KEPT and len(self.memory) < self.remember:
-            self.memory[w] = found
-
     def children(self, nodes: np.ndarray | int, points: np.ndarray) -> np.ndarray:
         """The node that each character leads to, 0 if there is none."""
         wanted = nodes << 21 | points
         at = np.searchsorted(self.edges, wanted)
         return np.where(self.edges[np.minimum(at, len(self.edges) - 1)] == wanted, at + 1, 0)
 
-    def words(self, words: list[str]) -> list[tuple[float, list[int]]]:
-        """What :meth:`_word` gives for each word, all of them side by side.
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids that :meth:`_word` gives for each word, four bytes each, all words side by side.
 
         A word of n characters has n + 1 places. Steps that start at the same distance from their words'
         starts lead to different places, so one array operation takes them all. Long words and those
@@ -211,9 +209,9 @@ class Vocabulary:
             on[place] = True
             place = back[place]
             place, floor = place[place > floor], floor[place > floor]
-        flat, before = ids[on].tolist(), np.append(0, np.cumsum(on))
-        spans = zip(words, alone.tolist(), best[stops].tolist(), before[starts].tolist(), before[stops + 1].tolist())
-        return [self._word(w) if one else (total, flat[a:b]) for w, one, total, a, b in spans]
+        flat, before = ids[on].tobytes(), 4 * np.append(0, np.cumsum(on))
+        spans = zip(words, alone.tolist(), before[starts].tolist(), before[stops + 1].tolist())
+        return [np.array(self._word(w)[1], dtype=np.int32).tobytes() if one else flat[a:b] for w, one, a, b in spans]
 
     def _word(self, s: str) -> tuple[float, list[int]]:
         """What :meth:`path` gives for the whole of ``s``, in one tight loop."""
@@ -268,14 +266,16 @@ class Vocabulary:
         bounds = np.append(starts, len(data)).astype(np.int32)
         found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data)).dictionary_encode()
         words = found.dictionary.to_pylist()
-        held = [self.memory.get(w) for w in words]
-        new = [k for k, path in enumerate(held) if path is None]
-        for k, path in zip(new, self.words([words[k] for k in new])):
-            held[k] = path
-            self.keep(words[k], path)
-        ids = _lists([path[1] for path in held])
-        lengths = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
-        token_ends = np.append(0, np.cumsum(lengths[found.indices.to_numpy(zero_copy_only=False)]))[np.searchsorted(starts, ends)]
+        held = [self.packed.get(w) for w in words]
+        new = [k for k, ids in enumerate(held) if ids is None]
+        for k, ids in zip(new, self.words([words[k] for k in new])):
+            held[k] = ids
+            if len(words[k]) <= KEPT and len(self.packed) < self.remember:
+                self.packed[words[k]] = ids
+        sizes = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
+        places, flat = np.append(0, np.cumsum(sizes)), np.frombuffer(b"".join(held), dtype=np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(flat, pa.int32()))
+        token_ends = np.append(0, np.cumsum(sizes[found.indices.to_numpy(zero_copy_only=False)]))[np.searchsorted(starts, ends)]
         return pa.ListArray.from_arrays(pa.array(token_ends, pa.int32()), ids.take(found.indices).flatten())
 
     def decode(self, ids: list[int], names: list[str | int]) -> str:
