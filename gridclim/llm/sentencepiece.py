@@ -30,7 +30,7 @@ that are no pieces of the vocabulary decode to nothing. Rows that repeat are enc
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -51,7 +51,7 @@ UNKNOWN_PENALTY = 10.0
 FEW = 591  # code points below are told apart when certain cuts are looked for
 NONE = -np.inf
 KEPT = 64  # characters of a segment whose path is remembered
-PART = 1 << 20  # bytes of text that are cut at once
+PART = 1 << 18  # bytes of text that are cut at once; the arrays of their places take many times as much
 
 
 @dataclass
@@ -295,6 +295,21 @@ class Vocabulary:
         text = "".join(parts)
         return text[1:] if text.startswith(" ") else text
 
+    def decoder(self) -> Callable[[pa.ListArray], pa.StringArray]:
+        """What :meth:`decode` gives for each list of a column, where NULL counts as empty."""
+        pieces = pa.array([n.encode() if isinstance(n, str) else bytes([n]) for n in self.names()] + [b""], pa.binary())
+
+        def run(lists: pa.ListArray) -> pa.StringArray:
+            lists = lists.fill_null([]) if lists.null_count else lists
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+            ids = np.where((ids < 0) | (ids >= self.size), self.size, ids)
+            _, places, raw = pieces.take(pa.array(ids)).buffers()
+            raw, places = raw.to_pybytes() if raw else b"", np.frombuffer(places, dtype=np.int32)[ends].tolist() if len(ids) else ends
+            return pa.array([raw[a:b].decode("utf-8", "surrogatepass").removeprefix(" ") for a, b in zip(places, places[1:])], pa.string())
+
+        return run
+
     def names(self) -> list[str | int]:
         out: list[str | int] = [""] * self.size
         for piece, (_, i) in self.pieces.items():
@@ -383,9 +398,20 @@ def _lists(values: list[list[int]]) -> pa.Array:
 
 
 def encode(
-    docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = 1 << 16
+    docs: DataFrame,
+    vocabulary: Vocabulary,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk: int = 1 << 16,
+    decoded: str | None = None,
 ) -> DataFrame:
-    """(id, th, ids) for each row; th is the hash of the text that :func:`keyed` gives."""
+    """(id, th, ids) for each row; th is the hash of the text that :func:`keyed` gives.
+
+    ``decoded`` names a further column, the text that the ids decode to. It is what :func:`decode`
+    adds, but short texts are decoded by the Python worker that has encoded them, so that a task
+    has one of them, not two.
+    """
     if chunk < 2 * vocabulary.longest:
         raise ValueError("a chunk must be longer than any piece")
     shared = share(docs.sparkSession, vocabulary)
@@ -395,10 +421,14 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared()
+        back = v.decoder() if decoded else None
         for batch in pieces_of(batches, 2, PART):
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), v.encode_all(batch.column(2))], names=["id", "th", "ids"])
+            ids = v.encode_all(batch.column(2))
+            found = [ids, back(ids)] if back else [ids]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names=["id", "th", "ids", decoded][: 2 + len(found)])
 
-    small = base.where(F.char_length("text") < chunk).mapInArrow(whole, f"id {kind}, th long, ids array<int>")
+    columns = f"id {kind}, th long, ids array<int>" + (f", `{decoded}` string" if decoded else "")
+    small = base.where(F.char_length("text") < chunk).mapInArrow(whole, columns)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -467,7 +497,7 @@ def encode(
         .select("id", "th", "ids", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("_copy"))
         .drop("_copy")
     )
-    return small.union(large)
+    return small.union(decode(large, vocabulary, text_col=decoded) if decoded else large)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -477,18 +507,9 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids",
     at = kept.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared()
-        pieces = pa.array([n.encode() if isinstance(n, str) else bytes([n]) for n in v.names()] + [b""], pa.binary())
+        back = shared().decoder()
         for batch in _parts(batches):
-            lists = batch.column(at)
-            lists = lists.fill_null([]) if lists.null_count else lists
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            ends = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
-            ids = np.where((ids < 0) | (ids >= v.size), v.size, ids)
-            _, places, raw = pieces.take(pa.array(ids)).buffers()
-            raw, places = raw.to_pybytes() if raw else b"", np.frombuffer(places, dtype=np.int32)[ends].tolist() if len(ids) else ends
-            texts = [raw[a:b].decode("utf-8", "surrogatepass").removeprefix(" ") for a, b in zip(places, places[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, text_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, back(batch.column(at))], names=[*kept, text_col])
 
     out = encoded.select(*kept)
     return out.mapInArrow(run, T.StructType([*out.schema.fields, T.StructField(text_col, T.StringType())]))
@@ -496,8 +517,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids",
 
 def report(docs: DataFrame, vocabulary: Vocabulary, **options) -> DataFrame:
     """The ids of every document, and whether they decode to its text."""
-    encoded = encode(docs, vocabulary, **options)
-    return decode(encoded, vocabulary).select(
+    return encode(docs, vocabulary, decoded="decoded", **options).select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("bigint").alias("n_tokens"),
         "ids",

@@ -119,6 +119,17 @@ def test_spark(vocabulary, edges, nothing, chunk):
     assert sentencepiece.report(nothing, vocabulary, chunk=chunk).count() == 0
 
 
+def test_decoding_needs_no_second_worker(spark, vocabulary, edges):
+    plan = sentencepiece.report(edges, vocabulary)._jdf.queryExecution().optimizedPlan().toString()
+    # steps above the union would follow the one that encodes, in the same task
+    above, below = plan.split("Union")
+    assert "MapInArrow" not in above and below.count("MapInArrow") == 4
+    both = sentencepiece.encode(edges, vocabulary, chunk=100, decoded="back")
+    row = lambda r, text: (r.id, r.th, tuple(r.ids), text)
+    want = Counter(row(r, r.back) for r in sentencepiece.decode(both.drop("back"), vocabulary, text_col="back").collect())
+    assert Counter(row(r, r.back) for r in both.collect()) == want
+
+
 def test_whole_table(spark, docs, vocabulary):
     got = queries.op6_sentencepiece(spark, "/root/testdata/sf0.001").collect()
     want = {i: vocabulary.encode(t) for i, t in texts_of(docs)}
